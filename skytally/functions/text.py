@@ -83,7 +83,7 @@ def looks_mojibake(x) -> Column:
 
 def clean_name(name: str) -> str:
     """Column name without byte-order mark, spaces as ``_``, without ``,;{}()`` and line breaks."""
-    return re.sub(r"[,;{}()\n\t=]", "", name.replace("﻿", "").strip().replace(" ", "_"))
+    return re.sub(r"[,;{}()\n\t=]", "", name.replace("\ufeff", "").strip().replace(" ", "_"))
 
 
 def classify(normalized, triggers=None) -> Column:

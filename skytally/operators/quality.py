@@ -143,7 +143,7 @@ def obt_check(obt: DataFrame, fact: DataFrame) -> DataFrame:
 
 def conversion_counts(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """How many values survived typing, per column."""
-    return df.agg(F.count(F.lit(1)).alias("total_linhas"), *[F.count(c).alias(n) for n, c in columns.items()])
+    return df.agg(F.count(F.lit(1)).alias("total_linhas"), *[F.count(c).alias(n) for c, n in columns.items()])
 
 
 def check_semantic_layer(described: Mapping[str, Sequence[str]], tables: Mapping[str, DataFrame]) -> list[str]:

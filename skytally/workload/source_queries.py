@@ -1 +1,119 @@
-"""Queries."""
+"""Queries for raw file ingestion, file lists and exports: files are written from the tables, then read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..plans import cube as cb
+from ..plans import silver
+from ..session import new_folder
+from ..sources import catalog, export, raw
+from . import tables as t
+from .registry import query
+
+_NAMES = list(silver.RAW_FLIGHTS)
+
+
+def _write_raw_files(spark, sf) -> str:
+    """Raw flights as ``;`` files in ISO-8859-1 with preamble and header lines among them."""
+    path = new_folder(spark, "brutos")
+    body = t.raw_flights(spark, sf).select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in _NAMES])
+    lots = t.table(spark, sf, "region").select("r_regionkey")
+    headers = lots.select(*[F.lit(c).alias(c) for c in _NAMES])
+    writer = lambda df, sub, **o: df.write.options(sep=";", encoding="ISO-8859-1", emptyValue="", **o).csv(f"{path}/{sub}")
+    writer(body, "dados", quoteAll="true")
+    writer(headers, "cabecalhos")
+    writer(lots.select(F.concat(F.lit("Atualizado em: 2024-01-0"), F.col("r_regionkey").cast("string")).alias("l")), "preambulos")
+    return path
+
+
+_RAW_COLUMNS = ", ".join(f'{("coalesce(" + c + ", " + chr(39) * 2 + ")")} AS "{n}"' for n, c in silver.RAW_FLIGHTS.items())
+
+
+@query("s1_read_raw_csv", f"SELECT {_RAW_COLUMNS} FROM brutos")
+def s1(spark, sf):
+    path = _write_raw_files(spark, sf)
+    return raw.read_raw_csv(spark, [f"{path}/*"], _NAMES, encoding="ISO-8859-1", audit=False)
+
+
+@query("s5_load_stats_of_files", "SELECT count(*) AS registros FROM brutos")
+def s5(spark, sf):
+    """Audit columns of a load: every row names its file and its load time."""
+    df = raw.read_raw_csv(spark, [f"{_write_raw_files(spark, sf)}/*"], _NAMES, encoding="ISO-8859-1")
+    return df.filter("_source_file IS NOT NULL AND _ingestion_timestamp IS NOT NULL").agg(F.count(F.lit(1)).alias("registros"))
+
+
+@query("s6_stacked_layouts", """
+SELECT o_orderstatus AS situacao, count(*) AS registros, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS com_prioridade FROM orders GROUP BY 1""", views=False)
+def s6(spark, sf):
+    """Two layouts, one with a column the other lacks."""
+    o = t.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("pedido"), F.col("o_orderstatus").alias("situacao"), "o_orderpriority")
+    base = new_folder(spark, "layouts")
+    o.filter("pedido % 2 = 1").drop("o_orderpriority").write.options(sep=";", header="true").csv(f"{base}/a")
+    o.filter("pedido % 2 = 0").withColumnRenamed("o_orderpriority", "prioridade").write.options(sep=";", header="true").csv(f"{base}/b")
+    df = raw.read_raw_layouts(spark, [f"{base}/a", f"{base}/b"])
+    return df.groupBy("situacao").agg(F.count(F.lit(1)).alias("registros"), F.count("prioridade").alias("com_prioridade"))
+
+
+@query("s8_s9_raw_lines", """
+SELECT o_orderstatus AS situacao, count(*) AS registros, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS corrompidas FROM orders GROUP BY 1""", views=False)
+def s9(spark, sf):
+    """Lines kept as they are, then parsed; every tenth line lacks a field."""
+    o = t.table(spark, sf, "orders")
+    key = F.col("o_orderkey").cast("string")
+    line = F.when(F.col("o_orderkey") % 10 == 0, F.concat_ws(";", F.col("o_orderstatus"), key)).otherwise(
+        F.concat_ws(";", F.col("o_orderstatus"), key, "o_orderpriority"))
+    path = new_folder(spark, "linhas")
+    o.select(line.alias("value")).write.text(path)
+    parsed = raw.parse_raw_lines(raw.read_raw_lines(spark, path), ["situacao", "pedido", "prioridade"])
+    return parsed.groupBy("situacao").agg(F.count(F.lit(1)).alias("registros"), F.count("_corrupt").alias("corrompidas"))
+
+
+@query("s13_list_files")
+def s13(spark, sf):
+    return raw.folder_summary(raw.list_files(spark, sf, "*.parquet"))
+
+
+@query("s23_file_provenance")
+def s23(spark, sf):
+    return raw.file_provenance(spark, sf, "*.parquet").select("arquivo", "bytes", "sha256")
+
+
+@query("s10_pending_files")
+def s10(spark, sf):
+    """Files that a ledger of some of them does not list."""
+    files = raw.list_files(spark, sf, "*.parquet")
+    return raw.pending_files(files, files.filter("nome < 'm'")).select("nome", "bytes")
+
+
+@query("s19_export_table", "SELECT * FROM cubo")
+def s19(spark, sf):
+    path = new_folder(spark, "export")
+    export.export_table(cb.additive_cube(t.rows(spark, sf)), path, ["ano_mes", "icao_empresa", "icao_origem", "icao_destino"])
+    return spark.read.parquet(path)
+
+
+@query("s20_export_bundle", """
+SELECT 'geral' AS secao, CAST(1 AS BIGINT) AS linhas UNION ALL SELECT 'mensal', count(*) FROM tempo
+UNION ALL SELECT 'justificativas', count(DISTINCT coalesce(nullif(codigo_justificativa, ''), '(sem codigo)')) FROM linhas WHERE flag_cancelado""")
+def s20(spark, sf):
+    r = t.rows(spark, sf)
+    return export.export_bundle({"geral": cb.kpis(r), "mensal": cb.month_cube(r), "justificativas": cb.cancellation_reasons(r)}, new_folder(spark, "pacote"))
+
+
+@query("s14_s15_save_table", "SELECT icao, rotulo FROM aerodromo")
+def s14(spark, sf):
+    name = "aerodromo_" + new_folder(spark, "x").rsplit("-", 1)[-1]
+    catalog.save_table(t.aerodromo(spark, sf), name, "Aerodromos", new_folder(spark, "tabela"), properties={"camada": "gold"})
+    return spark.table(name).select("icao", "rotulo")
+
+
+@query("s17_view", "SELECT uf, count(*) AS aerodromos FROM aerodromo GROUP BY uf")
+def s17(spark, sf):
+    catalog.create_view(t.aerodromo(spark, sf), "vw_aerodromo")
+    return spark.sql("SELECT uf, count(*) AS aerodromos FROM vw_aerodromo GROUP BY uf")
+
+
+@query("s24_clean_records", "SELECT ano_mes, CAST(primeiro_dia AS VARCHAR) AS primeiro_dia, voos FROM tempo")
+def s24(spark, sf):
+    return export.json_ready(t.tempo(spark, sf).select("ano_mes", "primeiro_dia", "voos"))
