@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as lx
 from ..functions import text as tx
 from ..functions.typing import percent
+from ..session import spread
 from .aggregates import count_if
 from .reconcile import match_with_tolerance
 from .windows import nearest_rank
@@ -45,7 +46,8 @@ def fill_phrase(template: Column | str, values: Mapping[str, Column]) -> Column:
 
 def extract_numbers(df: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
     """One row per number in the text: (ids, ordem, trecho, valor, tolerancia)."""
-    return df.select(*id_columns, F.posexplode(tx.numbers_in(text)).alias("ordem", "_x")).select(*id_columns, "ordem", "_x.*")
+    rows = spread(df.select(*id_columns, text))
+    return rows.select(*id_columns, F.posexplode(tx.numbers_in(text)).alias("ordem", "_x")).select(*id_columns, "ordem", "_x.*")
 
 
 def known_numbers(results: DataFrame, key: str, numeric: Sequence[str]) -> DataFrame:

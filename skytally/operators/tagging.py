@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
+from ..session import spread
 from .windows import previous_in_group
 
 
@@ -58,13 +59,15 @@ def tag_entities(df: DataFrame, id_column: str, text: str, dictionary: DataFrame
     lengths = sorted(r[0] for r in names.select("_w").distinct().collect() if max_words is None or r[0] <= max_words)
     if not lengths:
         lengths = [1]
-    tokens = df.select(F.col(id_column).alias("_id"), F.split(tx.normalize_text(text), " ").alias("_tok"))
+    tokens = spread(df.select(id_column, text)).select(F.col(id_column).alias("_id"), F.split(tx.normalize_text(text), " ").alias("_tok"))
     size = F.size("_tok")
+    # Words are fetched by position: a slice would copy the whole text for every position.
+    word = lambda p: F.get("_tok", p - 1)
     gram = lambda n: F.transform(
         F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>")),
         lambda p: F.struct(
-            p.alias("p"), F.lit(n).alias("n"), F.array_join(F.slice("_tok", p, F.lit(n)), " ").alias("g"),
-            F.array_join(F.slice("_tok", F.greatest(p - 2, F.lit(1)), F.least(p - 1, F.lit(2))), " ").alias("antes")))
+            p.alias("p"), F.lit(n).alias("n"), F.concat_ws(" ", *[word(p + i) for i in range(n)]).alias("g"),
+            F.concat_ws(" ", F.when(p > 2, word(p - 2)), F.when(p > 1, word(p - 1))).alias("antes")))
     grams = tokens.select("_id", F.explode(F.concat(*[gram(n) for n in lengths])).alias("x")).select("_id", "x.*")
     found = grams.join(names, (grams["g"] == names["frase"]) & (grams["n"] == names["_w"]))
 

@@ -24,15 +24,31 @@ MIN_PER_DIRECTION = 1500
 MIN_DAYS = 28
 
 
-@dataclass(frozen=True)
 class Cube:
-    """Fact rows with the eight keys and fifteen measures, and the four export dimensions."""
-
-    fato: DataFrame
-    empresa: DataFrame
-    aerodromo: DataFrame
-    rota: DataFrame | None = None
-    tempo: DataFrame | None = None
+    """Fact rows with the eight keys and fifteen measures, and the four export dimensions.
+
+    A part may be given as a function; it is then built when a question first asks for it.
+    """
+
+    def __init__(self, fato, empresa=None, aerodromo=None, rota=None, tempo=None):
+        self._parts = {"fato": fato, "empresa": empresa, "aerodromo": aerodromo, "rota": rota, "tempo": tempo}
+
+    def _part(self, name: str) -> DataFrame:
+        part = self._parts[name]
+        if part is None:
+            raise ValueError(f"this cube has no {name}")
+        if not isinstance(part, DataFrame):
+            part = self._parts[name] = part()
+        return part
+
+    fato = property(lambda self: self._part("fato"))
+    empresa = property(lambda self: self._part("empresa"))
+    aerodromo = property(lambda self: self._part("aerodromo"))
+    rota = property(lambda self: self._part("rota"))
+    tempo = property(lambda self: self._part("tempo"))
+
+    def with_parts(self, **parts) -> Cube:
+        return Cube(**{**self._parts, **parts})
 
 
 def sums_by(df: DataFrame, *keys: str | Column) -> DataFrame:

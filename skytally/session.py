@@ -31,6 +31,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .appName("skytally")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
@@ -63,3 +64,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors and fixes partition contents."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows redistributed when the input has fewer partitions than the session has cores.
+
+    For work that is heavy per row (text): a few large files would keep most cores idle. An input
+    of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from ..functions.text import looks_mojibake
@@ -234,7 +232,7 @@ SELECT CASE WHEN a.municipio IS NULL THEN 'fora' ELSE 'dentro' END AS lado, coun
 FROM voos v JOIN aerodromo a ON v.icao_origem = a.icao GROUP BY 1""")
 def j11(spark, sf):
     cube = t.cube(spark, sf, destination=False)
-    return facts.inside_outside(replace(cube, aerodromo=cube.aerodromo.filter("municipio IS NOT NULL")))
+    return facts.inside_outside(cube.with_parts(aerodromo=cube.aerodromo.filter("municipio IS NOT NULL")))
 
 
 @query("j15_match_with_tolerance", """
@@ -299,7 +297,7 @@ def q19_period(spark, sf):
 SELECT (SELECT nome_mes FROM m ORDER BY otp, ano_mes LIMIT 1) AS mes_min, (SELECT min(otp) FROM m) AS min,
   (SELECT nome_mes FROM m ORDER BY otp DESC, ano_mes LIMIT 1) AS mes_max, (SELECT max(otp) FROM m) AS max""")
 def q19_extremes(spark, sf):
-    return facts.otp_extremes(t.cube(spark, sf, months=True, origin=False, destination=False))
+    return facts.otp_extremes(t.cube(spark, sf, origin=False, destination=False))
 
 
 @query("q19_uncovered_airports", """
@@ -316,7 +314,7 @@ SELECT count(*) AS origens, CAST(coalesce(sum(v), 0) AS BIGINT) AS voos FROM (SE
 WHERE icao_origem NOT IN (SELECT icao FROM aerodromo WHERE municipio IS NOT NULL)""")
 def q19_outside(spark, sf):
     cube = t.cube(spark, sf, destination=False)
-    return facts.outside_dimension(replace(cube, aerodromo=cube.aerodromo.filter("municipio IS NOT NULL")))
+    return facts.outside_dimension(cube.with_parts(aerodromo=cube.aerodromo.filter("municipio IS NOT NULL")))
 
 
 @query("q19_otp_by_nationality", f"""

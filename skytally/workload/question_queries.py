@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..plans import questions as qs
 from ..plans.cube import additive_cube
 from ..plans.questions import Cube, Place, Question
@@ -19,12 +21,12 @@ ORI = "cubo f JOIN aerodromo a ON f.icao_origem = a.icao"
 MES = "JOIN tempo t ON f.ano_mes = t.ano_mes AND t.dias_com_voo >= 28"
 
 
-def _no_ends(spark, sf, **kw):
-    return t.cube(spark, sf, origin=False, destination=False, **kw)
+def _no_ends(spark, sf):
+    return t.cube(spark, sf, origin=False, destination=False)
 
 
-def _origin(spark, sf, **kw):
-    return t.cube(spark, sf, destination=False, **kw)
+def _origin(spark, sf):
+    return t.cube(spark, sf, destination=False)
 
 
 @query("k1_cancellation_ranking", f"""
@@ -43,7 +45,7 @@ def k1_leader(spark, sf):
 @query("k2_otp_by_month", f"""
 SELECT t.nome_mes AS mes, {OTP} AS otp, {DONE} AS realizados, t.ordem FROM cubo f {MES} GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
 def k2(spark, sf):
-    return qs.otp_by_month(_no_ends(spark, sf, months=True))
+    return qs.otp_by_month(_no_ends(spark, sf))
 
 
 @query("k2_a14_months_as_columns", """
@@ -159,7 +161,7 @@ def k9_month(spark, sf):
 SELECT t.nome_mes AS mes, {OTP} AS otp, t.ordem FROM {ORI} {MES} WHERE strip_accents(upper(a.nome)) LIKE '%NATION_1%'
 GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
 def k10(spark, sf):
-    return qs.monthly_otp_of_airport(_origin(spark, sf, months=True), "nation_1")
+    return qs.monthly_otp_of_airport(_origin(spark, sf), "nation_1")
 
 
 @query("k11_top_destinations", f"""
@@ -180,18 +182,18 @@ def k12(spark, sf):
 SELECT o.rotulo || ' → ' || d.rotulo AS rota, r.distancia_km AS km, r.voos FROM rota r JOIN aerodromo o ON r.icao_origem = o.icao
 JOIN aerodromo d ON r.icao_destino = d.icao WHERE r.distancia_km IS NOT NULL AND NOT r.origem_igual_destino ORDER BY km DESC, rota LIMIT 10""")
 def k13(spark, sf):
-    return qs.longest_routes(t.cube(spark, sf, routes=True))
+    return qs.longest_routes(t.cube(spark, sf))
 
 
 @query("k14_cancellations_in_month", f"SELECT {CANC} AS cancelados, {TAXA} AS taxa FROM cubo f JOIN tempo t ON f.ano_mes = t.ano_mes WHERE t.nome_mes = 'mar/1997'")
 def k14(spark, sf):
-    return qs.cancellations_in_month(_no_ends(spark, sf, months=True), "mar/1997")
+    return qs.cancellations_in_month(_no_ends(spark, sf), "mar/1997")
 
 
 @query("k15_cancellation_by_month", f"""
 SELECT t.nome_mes AS mes, {TAXA} AS taxa, t.ordem FROM cubo f {MES} GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
 def k15(spark, sf):
-    return qs.cancellation_by_month(_no_ends(spark, sf, months=True))
+    return qs.cancellation_by_month(_no_ends(spark, sf))
 
 
 @query("k16_departures_by_state", f"""
@@ -234,7 +236,7 @@ def k17_rate(spark, sf):
 SELECT t.nome_mes AS mes, {ATRASO} AS atraso, {DONE} AS realizados, t.ordem FROM {ORI} {MES} WHERE a.uf = 'R3'
 GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
 def k17_series(spark, sf):
-    return qs.measure_query(t.cube(spark, sf, months=True), Question("atraso", place=Place("uf", "R3"), series=True))
+    return qs.measure_query(t.cube(spark, sf), Question("atraso", place=Place("uf", "R3"), series=True))
 
 
 @query("k19_follow_up", f"""
@@ -273,27 +275,21 @@ def k21_floor(spark, sf):
 SELECT sum(distancia_km * voos) / sum(voos) AS km FROM (SELECT CAST(distancia_km AS DECIMAL(12,1)) AS distancia_km, voos FROM rota
   WHERE distancia_km IS NOT NULL AND NOT origem_igual_destino)""")
 def k22(spark, sf):
-    return _exact_mean(qs.mean_distance(_tenths(t.cube(spark, sf, routes=True))))
+    return _exact_mean(qs.mean_distance(_tenths(t.cube(spark, sf))))
 
 
 @query("k22_mean_distance_with_circular", """
 SELECT sum(distancia_km * voos) / sum(voos) AS km FROM (SELECT CAST(distancia_km AS DECIMAL(12,1)) AS distancia_km, voos FROM rota WHERE distancia_km IS NOT NULL)""")
 def k22_all(spark, sf):
-    return _exact_mean(qs.mean_distance(_tenths(t.cube(spark, sf, routes=True)), with_circular=True))
+    return _exact_mean(qs.mean_distance(_tenths(t.cube(spark, sf)), with_circular=True))
 
 
 def _tenths(cube: Cube) -> Cube:
     """Distances as whole tenths of a kilometre, so that the sum has no rounding order."""
-    from dataclasses import replace
-
-    from pyspark.sql import functions as F
-
-    return replace(cube, rota=cube.rota.withColumn("distancia_km", F.round(F.col("distancia_km") * 10).cast("long")))
+    return cube.with_parts(rota=cube.rota.withColumn("distancia_km", F.round(F.col("distancia_km") * 10).cast("long")))
 
 
 def _exact_mean(df):
-    from pyspark.sql import functions as F
-
     return df.select((F.col("km") / 10).alias("km"))
 
 
@@ -326,8 +322,6 @@ def k1_cube(spark, sf):
 
 @query("t4_row_cap", "SELECT icao_origem, icao_destino, CAST(sum(voos) AS BIGINT) AS voos FROM cubo GROUP BY 1, 2 ORDER BY voos DESC, 1, 2 LIMIT 100")
 def t4(spark, sf):
-    from pyspark.sql import functions as F
-
     pairs = qs.sums_by(t.cube(spark, sf).fato, "icao_origem", "icao_destino").select("icao_origem", "icao_destino", "voos")
     return qs.row_cap(pairs, 500, [F.desc("voos"), F.asc("icao_origem"), F.asc("icao_destino")])
 

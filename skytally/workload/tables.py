@@ -8,18 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.typing import label_of
 from ..plans import star
 from ..plans.cube import export_months, measure_rows
 from ..plans.questions import Cube
+from ..session import spread
 from ..plans.silver import silver_airports, silver_companies, with_delays
-from ..session import tune
+
+
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    tune(spark)
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table of the folder; its schema is read from the files once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _minutes(n: Column) -> Column:
@@ -238,19 +245,17 @@ def tempo(spark, sf) -> DataFrame:
     return export_months(rows(spark, sf, origin=False, destination=False))
 
 
-def cube(spark, sf, routes: bool = False, months: bool = False, origin: bool = True, destination: bool = True) -> Cube:
+def cube(spark, sf, origin: bool = True, destination: bool = True) -> Cube:
     """Question input over flights of weight one; ends that are not asked for are NULL."""
     r = rows(spark, sf, origin=origin, destination=destination)
-    for flag, name in ((origin, "icao_origem"), (destination, "icao_destino")):
-        if not flag:
-            r = r.withColumn(name, F.lit(None).cast("int"))
-    return Cube(measure_rows(r), empresa(spark, sf), aerodromo(spark, sf),
-                rota(spark, sf) if routes else None, tempo(spark, sf) if months else None)
+    absent = {n: F.lit(None).cast("int") for n, flag in (("icao_origem", origin), ("icao_destino", destination)) if not flag}
+    r = r.withColumns(absent) if absent else r
+    return Cube(measure_rows(r), lambda: empresa(spark, sf), lambda: aerodromo(spark, sf), lambda: rota(spark, sf), lambda: tempo(spark, sf))
 
 
 def lines(spark, sf, name: str = "documents", key: str = "doc_id") -> DataFrame:
     """Non-empty text lines of a table, numbered inside each text."""
-    return table(spark, sf, name).select(key, F.posexplode(F.split("text", "\n")).alias("linha", "texto")).filter(
+    return spread(table(spark, sf, name).select(key, "text")).select(key, F.posexplode(F.split("text", "\n")).alias("linha", "texto")).filter(
         F.trim("texto") != "")
 
 

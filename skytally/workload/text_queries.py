@@ -155,9 +155,10 @@ def _phrases(spark, sf):
 WITH nomes AS (SELECT array_to_string(list_slice(w, 1, n), ' ') AS frase, CASE n WHEN 2 THEN 'par' ELSE 'trio' END AS tipo, CAST(item_id AS VARCHAR) AS chave, n
   FROM (SELECT item_id, string_split({_norm('text')}, ' ') AS w FROM benchmark), (VALUES (2), (3)) v(n) WHERE len(w) >= n),
 dic AS (SELECT frase, n, min({{'t': tipo, 'c': chave}}) AS d FROM nomes GROUP BY 1, 2),
-tok AS (SELECT doc_id, string_split({_norm('text')}, ' ') AS w FROM documents),
-pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM tok),
-hit AS (SELECT doc_id, p, dic.n, dic.frase, d.t AS tipo, d.c AS chave FROM pos JOIN dic ON array_to_string(list_slice(w, p, p + dic.n - 1), ' ') = dic.frase AND p + dic.n - 1 <= len(w))
+tok AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS p FROM (SELECT doc_id, string_split({_norm('text')}, ' ') AS w FROM documents)),
+seq AS (SELECT doc_id, p, w, lead(w, 1) OVER d AS w2, lead(w, 2) OVER d AS w3 FROM tok WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
+gram AS (SELECT doc_id, p, 2 AS n, w || ' ' || w2 AS g FROM seq UNION ALL SELECT doc_id, p, 3, w || ' ' || w2 || ' ' || w3 FROM seq),
+hit AS (SELECT doc_id, p, dic.n, dic.frase, d.t AS tipo, d.c AS chave FROM gram JOIN dic ON gram.g = dic.frase AND gram.n = dic.n)
 SELECT doc_id, CAST(p AS INT) AS posicao, CAST(n AS INT) AS palavras, frase, tipo, chave FROM hit h WHERE NOT EXISTS (
   SELECT 1 FROM hit g WHERE g.doc_id = h.doc_id AND g.p < h.p + h.n AND h.p < g.p + g.n
   AND (length(g.frase) > length(h.frase) OR length(g.frase) = length(h.frase) AND (g.frase < h.frase OR g.frase = h.frase AND g.p < h.p)))""", views=False)
