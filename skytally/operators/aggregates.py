@@ -58,7 +58,7 @@ def arg_best(df: DataFrame, keys: Sequence[str], label: str, by: str, largest: b
     score = F.struct(-F.col(by) if largest else F.col(by), F.col(label))
     rows = df.filter(F.col(by).isNotNull())
     picked = F.min_by(F.struct(F.col(label), F.col(by)), score).alias("_b")
-    out = (rows.groupBy(*keys) if keys else rows.groupBy()).agg(picked)
+    out = rows.groupBy(*keys).agg(picked).filter("_b IS NOT NULL")
     return out.select(*keys, F.col(f"_b.{label}").alias(label), F.col(f"_b.{by}").alias(by))
 
 
