@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.metrics import MEASURES, METRICS, measure_sums, metric, metrics
 from ..functions.text import comparable_text, strip_accents
 from ..functions.typing import pair_high, pair_low, percent
-from ..operators.aggregates import arg_best, movement, top_k, weighted_mean
+from ..operators.aggregates import arg_best, count_if, movement, top_k, weighted_mean
 from ..operators.joins import members_of, not_members_of
 from ..operators.windows import unique_label
 
@@ -305,7 +305,7 @@ def leaving_worse_count(cube: Cube, place: Place, min_flights: int = 800, state_
     """On how many routes with enough traffic both ways leaving is less punctual than arriving."""
     both = _directions(cube, place, True, min_flights, state_column)
     return both.agg(F.count(F.lit(1)).alias("rotas"),
-                    F.sum(F.when(F.col("saindo") < F.col("chegando"), 1).otherwise(0)).alias("sair_pior"))
+                    count_if(F.col("saindo") < F.col("chegando")).alias("sair_pior"))
 
 
 # --- Template ------------------------------------------------------------------------------------
