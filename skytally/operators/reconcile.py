@@ -70,7 +70,7 @@ def match_with_tolerance(
             F.floor((F.col(value) + F.col(tolerance)) / step(F.col("_level"))),
         )).alias("_cell"),
     ).distinct()
-    levels = cells.select("_level").distinct()
+    levels = want.select("_level").distinct()
     known = values.filter(F.col(other).isNotNull()).select(*[F.col(s).alias(f"_s_{s}") for s in scope], F.col(other).cast("double").alias("_v")).distinct()
     # The levels in use form one short array: the exponents of doubles bound its length.
     grid = known.withColumn("_levels", levels.agg(F.collect_set("_level")).scalar())

@@ -66,13 +66,24 @@ def surrogate_key(
     return numbered.select((F.col("_off") + F.col("_pos") + start).cast("long").alias(name), *df.columns)
 
 
+# A dimension counted below this many rows is a few tens of megabytes: safe to send to every task.
+BROADCAST_ROWS = 100_000
+
+
 def small_surrogate_key(df: DataFrame, name: str, order: Sequence[str], limit: int = 1_000_000, start: int = 1) -> DataFrame:
-    """Dense key for a dimension; a frame proven to fit ``limit`` rows uses one ordered window."""
-    if df.limit(limit + 1).count() > limit:
-        return surrogate_key(df, name, order, start)
+    """Dense key for a dimension; a frame proven to fit ``limit`` rows uses one ordered window.
+
+    The rows are fixed by a checkpoint first: they are computed once, and every join that uses the
+    dimension sees the same keys. The count also decides whether later joins may broadcast it.
+    """
+    fixed = checkpointed(df)
+    rows = fixed.count()
+    if rows > limit:
+        return surrogate_key(fixed, name, order, start)
     tail = [c for c in df.columns if c not in order]
     w = Window.orderBy(*[F.asc_nulls_first(c) for c in [*order, *tail]])
-    return df.select((F.row_number().over(w) + (start - 1)).cast("long").alias(name), *df.columns)
+    keyed = fixed.select((F.row_number().over(w) + (start - 1)).cast("long").alias(name), *df.columns)
+    return F.broadcast(keyed) if rows <= BROADCAST_ROWS else keyed
 
 
 def unique_label(df: DataFrame, label: str, code: str, name: str) -> DataFrame:

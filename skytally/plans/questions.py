@@ -273,6 +273,14 @@ class Place:
         return a.filter(F.col("icao").isin(codes)).select("icao")
 
 
+def resolve_place(cube: Cube, place: Place) -> Place:
+    """A city with a single airport is that airport, so its answer is one row and not a list of one."""
+    if place.kind != "municipio":
+        return place
+    codes = place.airports(cube).limit(2).collect()
+    return Place("aeroporto", codes[0][0]) if len(codes) == 1 else place
+
+
 def _directions(cube: Cube, place: Place, exclude_inner: bool, min_flights: int, state_column: str) -> DataFrame:
     here = place.airports(cube, state_column)
     pairs = sums_by(cube.fato, "icao_origem", "icao_destino")

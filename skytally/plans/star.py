@@ -15,6 +15,7 @@ from ..functions.typing import percent
 from ..operators.aggregates import count_if, mean_where
 from ..operators.joins import lookup, lookup_keys, prefix_dim
 from ..operators.windows import dedupe_best, latest_first, present_first, small_surrogate_key, surrogate_key
+from ..session import checkpointed
 from .silver import drop_header_rows
 
 Numbering = Callable[[DataFrame, str, Sequence[str]], DataFrame]
@@ -54,6 +55,11 @@ def build_dim_aerodromo(airports: DataFrame, number: Numbering = small_surrogate
     return number(kept, "sk_aerodromo", ["icao"])
 
 
+def flight_codes(flights: DataFrame) -> DataFrame:
+    """Code combinations in use, fixed once: the line, status and route dimensions all come from it."""
+    return checkpointed(flights.select("codigo_tipo_linha", "situacao_voo", "icao_origem", "icao_destino").distinct())
+
+
 def _codes(flights: DataFrame, column: str) -> DataFrame:
     return flights.select(F.col(column).alias("codigo")).filter("codigo IS NOT NULL").distinct()
 

@@ -72,5 +72,7 @@ def spread(df: DataFrame) -> DataFrame:
     For work that is heavy per row (text): a few large files would keep most cores idle. An input
     of many splits is left as it is.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

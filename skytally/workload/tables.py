@@ -186,11 +186,11 @@ def airports(spark, sf) -> DataFrame:
 def dims(spark, sf, f: DataFrame | None = None) -> dict[str, DataFrame]:
     """All six dimensions of the star."""
     f = f if f is not None else flights(spark, sf, text_codes=True)
-    a = airports(spark, sf)
+    a, codes = airports(spark, sf), star.flight_codes(f)
     return {
         "tempo": star.build_dim_tempo(f), "empresa": star.build_dim_empresa(companies(spark, sf)),
-        "aerodromo": star.build_dim_aerodromo(a), "tipo_linha": star.build_dim_tipo_linha(f),
-        "situacao": star.build_dim_situacao(f), "rota": star.build_dim_rota(f, a),
+        "aerodromo": star.build_dim_aerodromo(a), "tipo_linha": star.build_dim_tipo_linha(codes),
+        "situacao": star.build_dim_situacao(codes), "rota": star.build_dim_rota(codes, a),
     }
 
 

@@ -40,6 +40,12 @@ def test_series_has_no_month():
         qs.with_changes(Question("voos", series=True), month="2025-08")
 
 
+def test_city_of_one_airport(spark):
+    c = t.cube(spark, SF)
+    assert qs.resolve_place(c, Place("municipio", "MUN_5")) == Place("aeroporto", 5)
+    assert qs.resolve_place(c, Place("municipio", "MUN_1")).kind == "municipio"
+
+
 def test_cube_asks_for_parts_late(spark):
     with pytest.raises(ValueError):
         Cube(spark.range(1)).rota
