@@ -29,6 +29,11 @@ def build_dim_tempo(flights: DataFrame, date: str = "partida_prevista_data") ->
     return days.select(attrs.pop("sk_tempo").alias("sk_tempo"), "data", *[c.alias(n) for n, c in attrs.items()])
 
 
+def fixed_calendar(flights: DataFrame) -> DataFrame:
+    """The calendar computed once for all its roles. One row per day: small for any number of flights."""
+    return F.broadcast(checkpointed(build_dim_tempo(flights)))
+
+
 def best_companies(companies: DataFrame) -> DataFrame:
     """One row per code: filled name first, filled status next, most recent load last."""
     rows = drop_header_rows(companies, "icao", ["icao", "ICAO"])
