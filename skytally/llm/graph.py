@@ -14,8 +14,8 @@ def _hang(links: DataFrame, larger_only: bool) -> DataFrame:
     tied = links.join(least, "u")
     if larger_only:
         return tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    both = tied.select(F.explode(F.array(F.struct(F.col("u"), F.col("m")), F.struct(F.col("v"), F.col("m")))).alias("x"))
-    return both.select(F.col("x.u").alias("u"), F.col("x.m").alias("v"))
+    both = tied.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
+    return both.select("x.u", "x.v")
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import substring_dedup
+from . import near_dedup, substring_dedup
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -26,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
