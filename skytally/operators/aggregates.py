@@ -166,6 +166,7 @@ def missing_code_counts(df: DataFrame, code: str, name: str, count: str, missing
     )
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """First k rows; give the order a unique tail so that ties cannot change the answer."""
-    return df.orderBy(*order).limit(k)
+def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
+    """First k rows, or all in order; give the order a unique tail so that ties cannot change the answer."""
+    ordered = df.orderBy(*order)
+    return ordered if k is None else ordered.limit(k)

@@ -58,9 +58,9 @@ def match_with_tolerance(
 
     ``how='anti'`` keeps those without one. Values fall on a grid whose step is the tolerance
     rounded up to a power of two, so an expected row looks at three cells at most; values are made
-    distinct first.
+    distinct first. A tolerance of zero asks for equality; a negative or missing one is never met.
     """
-    level = F.ceil(F.log2(F.col(tolerance)))
+    level = F.when(F.col(tolerance) == 0, 0).when(F.col(tolerance) > 0, F.ceil(F.log2(F.col(tolerance))))
     step = lambda l: F.pow(F.lit(2.0), l)
     want = expected.withColumn("_level", level)
     cells = want.select(

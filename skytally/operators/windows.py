@@ -25,6 +25,12 @@ def present_first(x) -> Column:
     return F.when(x.isNotNull() & (x != ""), 0).otherwise(1)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name where NULL equals NULL; the keys come from the left."""
+    side = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    return left.join(side, [left[k].eqNullSafe(side[f"_r_{k}"]) for k in keys], how).drop(*[f"_r_{k}" for k in keys])
+
+
 def dedupe_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the smallest by ``order``, ties broken by all other columns.
 
@@ -114,7 +120,8 @@ def previous_in_group(
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     ends = base.groupBy(*keys, "_chunk").agg(F.max_by(packed, F.struct(*order)).alias("_end"))
     carried = ends.withColumn("_carry", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_chunk"))).drop("_end")
-    out = base.withColumn("_prev", F.lag(packed).over(inside)).join(carried, [*keys, "_chunk"], "left")
+    out = base.withColumn("_prev", F.lag(packed).over(inside))
+    out = join_null_safe(out, carried, [*keys, "_chunk"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     return out.select(*df.columns, *[prev[n].alias(n) for n in values.values()])
 
@@ -142,11 +149,11 @@ def failure_streaks(
     # Trailing failures of a chunk: the failures after its last success.
     last_ok = summary.select(*keys, "_chunk", "_n", "_f", "_ok_at")
     tail_rows = (
-        base.join(last_ok.select(*keys, "_chunk", "_ok_at"), [*keys, "_chunk"])
+        join_null_safe(base, last_ok.select(*keys, "_chunk", "_ok_at"), [*keys, "_chunk"])
         .filter(F.col("_ok_at").isNull() | (F.struct(*order) > F.col("_ok_at")))
         .groupBy(*keys, "_chunk").agg(F.sum("_fail").alias("_trail"))
     )
-    chunks = last_ok.drop("_ok_at").join(tail_rows, [*keys, "_chunk"], "left").withColumn(
+    chunks = join_null_safe(last_ok.drop("_ok_at"), tail_rows, [*keys, "_chunk"], "left").withColumn(
         "_trail", F.coalesce(F.col("_trail"), F.lit(0))
     )
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
@@ -155,7 +162,7 @@ def failure_streaks(
     in_island = Window.partitionBy(*keys, "_island").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
     chunks = chunks.withColumn("_leaving", F.sum("_trail").over(in_island))
     chunks = chunks.withColumn("_entering", F.coalesce(F.lag("_leaving").over(by_chunk), F.lit(0)))
-    out = rows.join(chunks.select(*keys, "_chunk", "_entering"), [*keys, "_chunk"])
+    out = join_null_safe(rows, chunks.select(*keys, "_chunk", "_entering"), [*keys, "_chunk"])
     run = F.when((F.col("_fail") == 1) & (F.col("_last_ok") == 0), F.col("_run") + F.col("_entering")).otherwise(F.col("_run"))
     return out.select(*df.columns, run.cast("long").alias(name))
 
@@ -163,11 +170,13 @@ def failure_streaks(
 def nearest_rank(
     df: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float], cells: int = 1000, levels: int = 2
 ) -> DataFrame:
-    """Exact nearest-rank percentiles per group.
+    """Exact nearest-rank percentiles per group; without keys, of all rows.
 
     Values are first counted, then narrowed: a histogram of ``cells`` per group finds the cell that
     holds each rank, and only that cell is looked into again. No group is sorted as a whole.
     """
+    if not keys:
+        return nearest_rank(df.withColumn("_all", F.lit(0)), ["_all"], value, percentiles, cells, levels).drop("_all")
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     bounds = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     wanted = F.explode(F.array(*[

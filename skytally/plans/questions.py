@@ -107,7 +107,7 @@ def cancellation_leader(cube: Cube, min_flights: int = 500) -> DataFrame:
     return arg_best(rows.select("rotulo_topo", _rate("taxa")), [], "rotulo_topo", "taxa")
 
 
-def otp_by_month(cube: Cube, min_days: int = MIN_DAYS, k: int = 20) -> DataFrame:
+def otp_by_month(cube: Cube, min_days: int = MIN_DAYS, k: int | None = None) -> DataFrame:
     rows = _monthly(cube, cube.fato, min_days)
     return top_k(rows.select("mes", _rate("otp"), "realizados", "ordem"), [F.asc("ordem")], k)
 
@@ -117,7 +117,7 @@ def otp_of_months(cube: Cube, months: dict[str, str]) -> DataFrame:
     return cube.fato.agg(*[metric("otp", F.col("ano_mes") == m, n) for n, m in months.items()])
 
 
-def cancellation_by_month(cube: Cube, min_days: int = MIN_DAYS, k: int = 20) -> DataFrame:
+def cancellation_by_month(cube: Cube, min_days: int = MIN_DAYS, k: int | None = None) -> DataFrame:
     return top_k(_monthly(cube, cube.fato, min_days).select("mes", _rate("taxa"), "ordem"), [F.asc("ordem")], k)
 
 
@@ -154,20 +154,20 @@ def cancellations_by_period(cube: Cube) -> DataFrame:
     return rows.select(F.col("periodo_partida").alias("periodo"), "cancelados", _rate("taxa"))
 
 
-def departures_of_state(cube: Cube, state, k: int = 20, column: str = "uf") -> DataFrame:
+def departures_of_state(cube: Cube, state, k: int | None = None, column: str = "uf") -> DataFrame:
     airports = cube.aerodromo.filter(F.col(column) == F.lit(state))
     rows = by_attribute(cube, "icao_origem", airports, "icao", {"rotulo": "aeroporto"}, "icao_origem")
     out = rows.select("aeroporto", F.col("icao_origem").alias("icao"), F.col("voos").alias("partidas"))
     return top_k(out, [F.desc("partidas"), F.asc("icao")], k)
 
 
-def departures_by_state(cube: Cube, k: int = 27, code: str = "uf", name: str = "estado") -> DataFrame:
+def departures_by_state(cube: Cube, k: int | None = None, code: str = "uf", name: str = "estado") -> DataFrame:
     airports = cube.aerodromo.filter(F.col(code).isNotNull())
     rows = by_attribute(cube, "icao_origem", airports, "icao", {code: "_uf", name: "estado"})
     return top_k(rows.select("estado", F.col("voos").alias("partidas")), [F.desc("partidas"), F.asc("estado")], k)
 
 
-def brand_flights(cube: Cube, brand: str, k: int = 10) -> DataFrame:
+def brand_flights(cube: Cube, brand: str, k: int | None = None) -> DataFrame:
     companies = cube.empresa.filter(F.col("marca") == brand)
     rows = by_attribute(cube, "icao_empresa", companies, "icao_empresa", {"nome": "empresa"})
     return top_k(rows.select("empresa", "voos"), [F.desc("voos"), F.asc("empresa")], k)
@@ -184,7 +184,7 @@ def brand_by_month(cube: Cube, brand: str) -> DataFrame:
     return sums_by(rows, "ano_mes").select("ano_mes", "voos")
 
 
-def monthly_otp_of_airport(cube: Cube, name_part: str, min_days: int = MIN_DAYS, k: int = 20) -> DataFrame:
+def monthly_otp_of_airport(cube: Cube, name_part: str, min_days: int = MIN_DAYS, k: int | None = None) -> DataFrame:
     found = cube.aerodromo.filter(strip_accents(F.upper("nome")).contains(name_part.upper()))
     rows = _monthly(cube, members_of(cube.fato, "icao_origem", found, "icao"), min_days)
     return top_k(rows.select("mes", _rate("otp"), "ordem"), [F.asc("ordem")], k)
@@ -301,7 +301,7 @@ def direction_compare(
     k: int = 14, state_column: str = "uf",
 ) -> DataFrame:
     """On-time rate leaving and arriving on the same routes, largest difference first."""
-    both = _directions(cube, place, exclude_inner, min_flights, state_column)
+    both = _directions(cube, resolve_place(cube, place), exclude_inner, min_flights, state_column)
     named = with_dim(both, "icao", cube.aerodromo, "icao", {"rotulo": "rotulo"})
     named = unique_label(named, "rotulo", "icao", "rota")
     diff = F.col("chegando") - F.col("saindo")
@@ -343,10 +343,15 @@ def with_changes(question: Question, **changes) -> Question:
     return changed
 
 
-def measure_query(cube: Cube, q: Question, min_days: int = MIN_DAYS, state_column: str = "uf") -> DataFrame:
-    """Answer a template question: a monthly series, a list per airport or operator, or one row."""
+def measure_query(cube: Cube, q: Question, min_days: int = MIN_DAYS, state_column: str = "uf", k: int | None = None) -> DataFrame:
+    """Answer a template question: a monthly series, a list per airport or operator, or one row.
+
+    Series and lists are whole unless ``k`` asks for their first rows. A city with one airport is answered as that airport.
+    """
     if q.series and q.month:
         raise ValueError("a series cannot be restricted to one month")
+    if q.place:
+        q = replace(q, place=resolve_place(cube, q.place))
     names = _SELECT[q.measure]
     additive = q.measure == "voos" or (q.measure == "cancelamento" and not q.rate)
     main = "taxa" if q.measure == "cancelamento" and q.rate else names[0]
@@ -366,21 +371,21 @@ def measure_query(cube: Cube, q: Question, min_days: int = MIN_DAYS, state_colum
 
     if q.series:
         rows = _monthly(cube, fato, min_days).select("mes", *[_rate(n) for n in names], "ordem")
-        return top_k(rows, [F.asc("ordem")], 20)
+        return top_k(rows, [F.asc("ordem")], k)
     if q.place and q.place.kind != "aeroporto" and additive:
         rows = with_dim(sums_by(fato, end), end, cube.aerodromo, "icao", {"rotulo": "aeroporto"})
         out = rows.select("aeroporto", F.col(end).alias("icao"), *[_rate(n) for n in names])
-        return top_k(out, [F.desc(main), F.asc("icao")], 40)
+        return top_k(out, [F.desc(main), F.asc("icao")], k)
     if q.brand and not q.place and additive:
         rows = with_dim(sums_by(fato, "icao_empresa"), "icao_empresa", cube.empresa, "icao_empresa", {"nome": "empresa"})
         out = sums_by(rows, "empresa").select("empresa", *[_rate(n) for n in names])
-        return top_k(out, [F.desc(main), F.asc("empresa")], 10)
+        return top_k(out, [F.desc(main), F.asc("empresa")], k)
     return fato.agg(*metrics(*names))
 
 
-def row_cap(df: DataFrame, cap: int = 100, order: Sequence[Column] = ()) -> DataFrame:
+def row_cap(df: DataFrame, cap: int, order: Sequence[Column] = ()) -> DataFrame:
     """At most ``cap`` rows, the size of an answer."""
-    return (df.orderBy(*order) if order else df).limit(min(cap, 100))
+    return (df.orderBy(*order) if order else df).limit(cap)
 
 
 def share_by(cube: Cube, key: str) -> DataFrame:

@@ -39,7 +39,7 @@ def json_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def clean_records(df: DataFrame, cap: int = 10_000) -> list[dict]:
+def clean_records(df: DataFrame, cap: int) -> list[dict]:
     """A small result as clean records; refuses a result above ``cap`` rows instead of cutting it."""
     rows = json_ready(df).limit(cap + 1).collect()
     if len(rows) > cap:

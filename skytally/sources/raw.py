@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,32 +35,49 @@ def profile_schema(spark: SparkSession, path: str, sep: str = ";", sampling: flo
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8", preamble: str = PREAMBLE) -> list[str]:
-    """Clean column names from the first lines of one file; reads no further than that."""
+def headers_of(spark: SparkSession, paths: Sequence[str], sep: str = ";", encoding: str = "UTF-8", preamble: str = PREAMBLE) -> dict[str, tuple[str, ...]]:
+    """Clean column names of each file: its first line that is neither empty nor preamble, however far down.
+
+    One parallel pass over all files; one line per file comes back. A file without such a line has no row either.
+    """
     # A separator no file contains: each line is one field, decoded with the file's own encoding.
-    rows = spark.read.schema("value string").csv(path, sep="\u0002", encoding=encoding, header=False, quote="").limit(5).collect()
-    for (line,) in rows:
-        if line and not re.search(preamble, line):
-            return [clean_name(c.strip('"')) for c in line.split(sep)]
-    return []
+    lines = spark.read.schema("value string").csv(list(paths), sep="\u0002", encoding=encoding, header=False, quote="")
+    lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    lines = lines.filter(F.col("value").isNotNull() & ~F.col("value").rlike(preamble))
+    first = lines.groupBy("file_path").agg(F.min_by("value", F.struct("file_block_start", "n")).alias("line"))
+    return {unquote(r["file_path"]): tuple(clean_name(c.strip('"')) for c in r["line"].split(sep)) for r in first.collect()}
+
+
+def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8", preamble: str = PREAMBLE) -> list[str]:
+    """The one header of a file or of all files of a path."""
+    found = set(headers_of(spark, [path], sep, encoding, preamble).values())
+    if len(found) != 1:
+        raise ValueError(f"{path}: {len(found)} different headers; read_raw_layouts stacks files of several")
+    return list(found.pop())
 
 
 def read_raw_csv(
     spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, sep: str = ";",
-    encoding: str = "UTF-8", preamble: str = PREAMBLE, audit: bool = True, quote: str = '"',
+    encoding: str = "UTF-8", preamble: str = PREAMBLE, audit: bool = True, quote: str = '"', corrupt: str | None = "_corrupt", multiline: bool = False,
 ) -> DataFrame:
     """Delimited files as text columns, read in parallel with one scan.
 
     Lines are dropped by content: a preamble is a line of one field that matches ``preamble``, a
     header repeats the column names. So the rule holds in every split of every file, and a file
-    with no line after its header adds no row. Empty fields are ``''``, never NULL.
+    with no line after its header adds no row. Empty fields are ``''``, never NULL. A line with too few or
+    too many fields also shows whole in ``corrupt``. ``multiline`` allows quoted line breaks; a file is then one split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    columns = list(columns or header_of(spark, paths[0], sep, encoding, preamble))
+    if columns is None:
+        found = set(headers_of(spark, paths, sep, encoding, preamble).values())
+        if len(found) != 1:
+            raise ValueError(f"{len(found)} different headers; read_raw_layouts stacks files of several")
+        columns = found.pop()
+    columns = list(columns)
     df = (
-        spark.read.schema(_text_schema(columns))
+        spark.read.schema(_text_schema([*columns, corrupt] if corrupt else columns))
         .options(sep=sep, encoding=encoding, quote=quote, header="false", nullValue=_NO_NULL, emptyValue="", mode="PERMISSIVE",
-                 enforceSchema="true")
+                 enforceSchema="true", multiLine=multiline, **({"columnNameOfCorruptRecord": corrupt} if corrupt else {}))
         .csv(paths)
     )
     if audit:
@@ -84,17 +101,16 @@ def _clean(c: Column) -> Column:
 def read_raw_layouts(spark: SparkSession, files: Sequence[str], sep: str = ";", encoding: str = "UTF-8", preamble: str = PREAMBLE) -> DataFrame:
     """Files of different headers stacked by column name; columns a file lacks are NULL.
 
-    Only the first lines of each file are looked at to group files by header; each group is then
-    one parallel scan.
+    One pass finds every file's header; the files of each header are then one parallel scan.
     """
     groups: dict[tuple, list[str]] = {}
-    for f in files:
-        header = tuple(header_of(spark, f, sep, encoding, preamble))
-        if header:
-            groups.setdefault(header, []).append(f)
+    for f, header in headers_of(spark, files, sep, encoding, preamble).items():
+        groups.setdefault(header, []).append(f)
+    if not groups:
+        raise ValueError("no file has a header")
     out = None
-    for header, members in groups.items():
-        part = read_raw_csv(spark, members, header, sep, encoding, preamble)
+    for header, members in sorted(groups.items()):
+        part = read_raw_csv(spark, sorted(members), header, sep, encoding, preamble)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

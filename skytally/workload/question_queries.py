@@ -43,7 +43,7 @@ def k1_leader(spark, sf):
 
 
 @query("k2_otp_by_month", f"""
-SELECT t.nome_mes AS mes, {OTP} AS otp, {DONE} AS realizados, t.ordem FROM cubo f {MES} GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
+SELECT t.nome_mes AS mes, {OTP} AS otp, {DONE} AS realizados, t.ordem FROM cubo f {MES} GROUP BY t.nome_mes, t.ordem""")
 def k2(spark, sf):
     return qs.otp_by_month(_no_ends(spark, sf))
 
@@ -132,12 +132,12 @@ def k6(spark, sf):
 
 
 @query("k7_departures_of_state", f"""
-SELECT a.rotulo AS aeroporto, a.icao, {VOOS} AS partidas FROM {ORI} WHERE a.uf = 'R2' GROUP BY a.icao, a.rotulo ORDER BY partidas DESC, a.icao LIMIT 20""")
+SELECT a.rotulo AS aeroporto, a.icao, {VOOS} AS partidas FROM {ORI} WHERE a.uf = 'R2' GROUP BY a.icao, a.rotulo""")
 def k7(spark, sf):
     return qs.departures_of_state(_origin(spark, sf), "R2")
 
 
-@query("k8_brand_flights", f"SELECT e.nome AS empresa, {VOOS} AS voos FROM {EMP} WHERE e.marca = 'M0' GROUP BY 1 ORDER BY voos DESC, empresa LIMIT 10")
+@query("k8_brand_flights", f"SELECT e.nome AS empresa, {VOOS} AS voos FROM {EMP} WHERE e.marca = 'M0' GROUP BY 1")
 def k8(spark, sf):
     return qs.brand_flights(_no_ends(spark, sf), "M0")
 
@@ -159,7 +159,7 @@ def k9_month(spark, sf):
 
 @query("k10_monthly_otp_of_airport", f"""
 SELECT t.nome_mes AS mes, {OTP} AS otp, t.ordem FROM {ORI} {MES} WHERE strip_accents(upper(a.nome)) LIKE '%NATION_1%'
-GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
+GROUP BY t.nome_mes, t.ordem""")
 def k10(spark, sf):
     return qs.monthly_otp_of_airport(_origin(spark, sf), "nation_1")
 
@@ -191,13 +191,13 @@ def k14(spark, sf):
 
 
 @query("k15_cancellation_by_month", f"""
-SELECT t.nome_mes AS mes, {TAXA} AS taxa, t.ordem FROM cubo f {MES} GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
+SELECT t.nome_mes AS mes, {TAXA} AS taxa, t.ordem FROM cubo f {MES} GROUP BY t.nome_mes, t.ordem""")
 def k15(spark, sf):
     return qs.cancellation_by_month(_no_ends(spark, sf))
 
 
 @query("k16_departures_by_state", f"""
-SELECT a.estado, {VOOS} AS partidas FROM {ORI} WHERE a.uf IS NOT NULL GROUP BY a.uf, a.estado ORDER BY partidas DESC, a.estado LIMIT 27""")
+SELECT a.estado, {VOOS} AS partidas FROM {ORI} WHERE a.uf IS NOT NULL GROUP BY a.uf, a.estado""")
 def k16(spark, sf):
     return qs.departures_by_state(_origin(spark, sf))
 
@@ -206,7 +206,7 @@ def k16(spark, sf):
 
 @query("k17_flights_to_state", f"""
 SELECT a.rotulo AS aeroporto, a.icao, {VOOS} AS voos FROM cubo f JOIN aerodromo a ON f.icao_destino = a.icao WHERE a.uf = 'R1'
-GROUP BY a.icao, a.rotulo ORDER BY voos DESC, a.icao LIMIT 40""")
+GROUP BY a.icao, a.rotulo""")
 def k17_flights(spark, sf):
     return qs.measure_query(t.cube(spark, sf), Question("voos", place=Place("uf", "R1"), direction="destino"))
 
@@ -222,7 +222,7 @@ def k17_brand(spark, sf):
 
 
 @query("k17_cancellations_by_operator", f"""
-SELECT e.nome AS empresa, {CANC} AS cancelados, {TAXA} AS taxa FROM {EMP} WHERE e.marca = 'M0' GROUP BY 1 ORDER BY cancelados DESC, empresa LIMIT 10""")
+SELECT e.nome AS empresa, {CANC} AS cancelados, {TAXA} AS taxa FROM {EMP} WHERE e.marca = 'M0' GROUP BY 1""")
 def k17_cancel(spark, sf):
     return qs.measure_query(t.cube(spark, sf), Question("cancelamento", brand="M0"))
 
@@ -234,14 +234,14 @@ def k17_rate(spark, sf):
 
 @query("k17_delay_series_of_state", f"""
 SELECT t.nome_mes AS mes, {ATRASO} AS atraso, {DONE} AS realizados, t.ordem FROM {ORI} {MES} WHERE a.uf = 'R3'
-GROUP BY t.nome_mes, t.ordem ORDER BY t.ordem LIMIT 20""")
+GROUP BY t.nome_mes, t.ordem""")
 def k17_series(spark, sf):
     return qs.measure_query(t.cube(spark, sf), Question("atraso", place=Place("uf", "R3"), series=True))
 
 
 @query("k19_follow_up", f"""
 SELECT a.rotulo AS aeroporto, a.icao, {VOOS} AS voos FROM cubo f JOIN aerodromo a ON f.icao_destino = a.icao WHERE a.uf = 'R4'
-GROUP BY a.icao, a.rotulo ORDER BY voos DESC, a.icao LIMIT 40""")
+GROUP BY a.icao, a.rotulo""")
 def k19(spark, sf):
     first = Question("voos", place=Place("uf", "R1"), direction="destino")
     return qs.measure_query(t.cube(spark, sf), qs.with_changes(first, place=Place("uf", "R4")))
@@ -320,7 +320,7 @@ def k1_cube(spark, sf):
     return qs.cancellation_ranking(Cube(stored, t.empresa(spark, sf), t.aerodromo(spark, sf)))
 
 
-@query("t4_row_cap", "SELECT icao_origem, icao_destino, CAST(sum(voos) AS BIGINT) AS voos FROM cubo GROUP BY 1, 2 ORDER BY voos DESC, 1, 2 LIMIT 100")
+@query("t4_row_cap", "SELECT icao_origem, icao_destino, CAST(sum(voos) AS BIGINT) AS voos FROM cubo GROUP BY 1, 2 ORDER BY voos DESC, 1, 2 LIMIT 500")
 def t4(spark, sf):
     pairs = qs.sums_by(t.cube(spark, sf).fato, "icao_origem", "icao_destino").select("icao_origem", "icao_destino", "voos")
     return qs.row_cap(pairs, 500, [F.desc("voos"), F.asc("icao_origem"), F.asc("icao_destino")])

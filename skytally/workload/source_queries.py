@@ -33,7 +33,7 @@ _RAW_COLUMNS = ", ".join(f'{("coalesce(" + c + ", " + chr(39) * 2 + ")")} AS "{n
 @query("s1_read_raw_csv", f"SELECT {_RAW_COLUMNS} FROM brutos")
 def s1(spark, sf):
     path = _write_raw_files(spark, sf)
-    return raw.read_raw_csv(spark, [f"{path}/*"], _NAMES, encoding="ISO-8859-1", audit=False)
+    return raw.read_raw_csv(spark, [f"{path}/*"], _NAMES, encoding="ISO-8859-1", audit=False).drop("_corrupt")
 
 
 @query("s5_load_stats_of_files", "SELECT count(*) AS registros FROM brutos")
@@ -55,6 +55,34 @@ def s6(spark, sf):
     return df.groupBy("situacao").agg(F.count(F.lit(1)).alias("registros"), F.count("prioridade").alias("com_prioridade"))
 
 
+@query("s6_header_below_long_preamble", """
+SELECT o_orderstatus AS situacao, count(*) AS registros, CAST(sum(o_orderkey) AS BIGINT) AS chaves FROM orders GROUP BY 1""", views=False)
+def s6_preamble(spark, sf):
+    """Every file starts with eight lines of preamble; the header is found below them."""
+    o = t.table(spark, sf, "orders")
+    head = "\n".join([*["Atualizado em: 2024-01-01"] * 8, "pedido;situacao", ""])
+    path = new_folder(spark, "fundo")
+    rows = o.select(F.expr("o_orderkey div 10000").alias("lote"), F.concat_ws(";", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("l"))
+    files = rows.groupBy("lote").agg(F.concat(F.lit(head), F.array_join(F.collect_list("l"), "\n")).alias("value"))  # 10,000 keys at most
+    files.repartition("lote").write.partitionBy("lote").text(path)
+    df = raw.read_raw_layouts(spark, [path])
+    return df.groupBy("situacao").agg(F.count(F.lit(1)).alias("registros"), F.sum(F.col("pedido").cast("long")).alias("chaves"))
+
+
+@query("s1_surplus_fields_and_line_breaks", """
+SELECT o_orderkey AS pedido, o_orderpriority || chr(10) || o_orderstatus AS nota,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey || ';"' || o_orderpriority || chr(10) || o_orderstatus || '";A MAIS' END AS linha FROM orders""", views=False)
+def s1_surplus(spark, sf):
+    """A note with a quoted line break in every record, and a field too many in every third."""
+    o = t.table(spark, sf, "orders")
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
+    more = F.when(F.col("o_orderkey") % 3 == 0, F.lit(";A MAIS")).otherwise(F.lit(""))
+    path = new_folder(spark, "notas")
+    o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(";"), note, more).alias("value")).write.text(path)
+    df = raw.read_raw_csv(spark, path, ["pedido", "nota"], audit=False, multiline=True)
+    return df.select(F.col("pedido").cast("long").alias("pedido"), "nota", F.col("_corrupt").alias("linha"))
+
+
 @query("s8_s9_raw_lines", """
 SELECT o_orderstatus AS situacao, count(*) AS registros, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS corrompidas FROM orders GROUP BY 1""", views=False)
 def s9(spark, sf):
@@ -69,21 +97,37 @@ def s9(spark, sf):
     return parsed.groupBy("situacao").agg(F.count(F.lit(1)).alias("registros"), F.count("_corrupt").alias("corrompidas"))
 
 
-@query("s13_list_files")
+def _written(spark, sf) -> str:
+    """Text files of at most 10,000 order keys each; their content follows from the rows."""
+    path = new_folder(spark, "arquivos")
+    o = t.table(spark, sf, "orders").groupBy(F.expr("o_orderkey div 10000").alias("pasta")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))), "\n").alias("value"))
+    o.select("value", "pasta").repartition("pasta").write.partitionBy("pasta").text(path)
+    return path
+
+
+_WRITTEN = """
+SELECT 'pasta=' || (o_orderkey // 10000) AS pasta, string_agg(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), chr(10) ORDER BY lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) || chr(10) AS conteudo
+FROM orders GROUP BY ALL"""
+
+
+@query("s13_list_files", f"SELECT pasta, count(*) AS arquivos, CAST(sum(strlen(conteudo)) AS BIGINT) AS bytes FROM ({_WRITTEN}) GROUP BY 1", views=False)
 def s13(spark, sf):
-    return raw.folder_summary(raw.list_files(spark, sf, "*.parquet"))
+    found = raw.folder_summary(raw.list_files(spark, _written(spark, sf), "*.txt"))
+    return found.withColumn("pasta", F.element_at(F.split("pasta", "/"), -1))
 
 
-@query("s23_file_provenance")
+@query("s23_file_provenance", f"SELECT CAST(strlen(conteudo) AS BIGINT) AS bytes, left(sha256(conteudo), 16) AS sha256 FROM ({_WRITTEN})", views=False)
 def s23(spark, sf):
-    return raw.file_provenance(spark, sf, "*.parquet").select("arquivo", "bytes", "sha256")
+    return raw.file_provenance(spark, _written(spark, sf), "*.txt").select("bytes", "sha256")
 
 
-@query("s10_pending_files")
+@query("s10_pending_files", f"SELECT pasta, CAST(strlen(conteudo) AS BIGINT) AS bytes FROM ({_WRITTEN}) WHERE pasta <> 'pasta=0'", views=False)
 def s10(spark, sf):
     """Files that a ledger of some of them does not list."""
-    files = raw.list_files(spark, sf, "*.parquet")
-    return raw.pending_files(files, files.filter("nome < 'm'")).select("nome", "bytes")
+    files = raw.list_files(spark, _written(spark, sf), "*.txt")
+    left = raw.pending_files(files, files.filter(F.col("pasta").endswith("pasta=0")))
+    return left.select(F.element_at(F.split("pasta", "/"), -1).alias("pasta"), "bytes")
 
 
 @query("s19_export_table", "SELECT * FROM cubo")
