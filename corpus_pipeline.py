@@ -2,29 +2,63 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import substring_dedup
+from skytally.llm import language_id, line_dedup, near_dedup, packing, substring_dedup
 from skytally.session import new_folder, tune
 
+#: A text is rejected when no language has this share of the evidence of its words.
+SURE = 0.5
 
-def _with_text(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the text of ``kept`` (doc_id, same, text), in the same columns."""
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("same").alias("_same"), F.col("text").alias("_text")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_same"))
-    return docs.join(kept, on, "left").withColumns({"text": F.col("_text"), "n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)}).select(*docs.columns)
 
+def _still_worded(cut: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows that have words left or lost none, with their new length, in the columns of ``docs``."""
+    left = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
-def remove_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that a document with a smaller doc_id has too are cut out."""
-    kept = substring_dedup.dedup_substrings(docs, layout=True)
-    return _with_text(docs, kept.select("doc_id", "same", F.col("kept").alias("text")))
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages of the labelled rows; those without a letter, or in no language for sure, go.
+
+    A missing ``lang`` becomes the language found. The model learns from the rows that are not held out.
+    """
+    model = language_id.train(docs.where(F.col("doc_id").isNotNull() & ~language_id.held_out(F.col("doc_id"))))
+    found = docs.withColumn("_found", language_id.language(F.col("text"), docs, model))
+    sure = (F.col("_found.lang") != language_id.UNDETERMINED) & (F.col("_found.score") >= SURE)
+    return found.where(sure).withColumn("lang", F.coalesce("lang", "_found.lang")).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of three-line windows that stand earlier are cut; a document with no word left goes."""
+    return _still_worded(line_dedup.dedup_lines(docs), docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked at a similarity of 0.8, the one with the smallest doc_id stays."""
+    found = near_dedup.near_duplicates(docs, 80, bands=near_dedup.BANDS_80)
+    return docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that a document with a smaller doc_id has too are cut; a document with no word left goes."""
+    return _still_worded(substring_dedup.remove_passages(docs), docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 1024: one row for each piece."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 1024, 2)
 
 
 STAGES = [
-    ("substring_dedup", remove_shared_passages),
+    ("language_id", keep_languages),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("substring_dedup", cut_shared_passages),
+    ("best_fit_packing", pack_sequences),
 ]
+#: Language identification, encoding and packing are beyond SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import keyed, restored
+
 
 def later_windows(docs: DataFrame, window: int = 3) -> DataFrame:
     """doc_id, same, at: first lines of the windows that stand earlier too, by (doc_id, line).
@@ -55,8 +57,7 @@ def dedup_lines(docs: DataFrame, window: int = 3) -> DataFrame:
     row without doc_id is compared with none. Rows that share doc_id and text are treated alike. Columns of ``docs``
     named n_lines and n_removed are replaced. An empty table gives an empty result.
     """
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keyed = docs.select(F.struct(*own).alias("row"), "doc_id", "text", F.xxhash64("text").alias("same"))
-    starts = later_windows(keyed, window).groupBy("doc_id", "same").agg(F.collect_set("at").alias("starts"))
-    cut = keyed.join(starts, ["doc_id", "same"], "left").withColumn("cut", _without(window)("text", "starts"))
-    return cut.select(*(F.col("cut.text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in own), "cut.n_lines", "cut.n_removed")
+    table = keyed(docs, ("n_lines", "n_removed"))
+    starts = later_windows(table, window).groupBy("doc_id", "same").agg(F.collect_set("at").alias("starts"))
+    cut = table.join(starts, ["doc_id", "same"], "left").withColumn("cut", _without(window)("text", "starts"))
+    return restored(cut, docs, F.col("cut.text"), {"n_lines": F.col("cut.n_lines"), "n_removed": F.col("cut.n_removed")})

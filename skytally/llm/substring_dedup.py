@@ -7,11 +7,13 @@ from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .frames import keyed, restored
 
 #: Words of the k-gram whose hash is the minimiser.
 GRAM = 8
@@ -151,10 +153,10 @@ def covered_ranges(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int
     return docs, hits.groupBy("doc_id", "same").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("ranges"))
 
 
-def keep_mask(n: int, ranges: list[dict] | None) -> np.ndarray:
+def keep_mask(n: int, ranges: list[dict]) -> np.ndarray:
     """True for each of ``n`` words outside all ranges [a, b)."""
     edge = np.zeros(n + 1, np.int64)
-    for x in ranges or ():
+    for x in ranges:
         edge[x["a"]] += 1
         edge[x["b"]] -= 1
     return np.cumsum(edge[:n]) == 0
@@ -167,39 +169,52 @@ def _cut(text: bytes, ranges: list[dict]) -> bytes:
     return text[: spans[0]] + b"".join(text[a:b] for a, b, s in zip(spans, spans[1:], stay) if s)
 
 
-def _cleaned(layout: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, ranges in zip(batch.column("text"), batch.column("ranges")):
-                raw = (text.as_py() or "").encode()
-                got = raw.split()  # parts at exactly the white space that ends a word here
-                n_words.append(len(got))
-                if ranges.is_valid:
-                    got = list(compress(got, keep_mask(len(got), ranges.as_py()).tolist()))
-                n_removed.append(n_words[-1] - len(got))
-                if layout:
-                    raw = _cut(raw, ranges.as_py()) if n_removed[-1] else raw
-                else:
-                    raw = b" ".join(got)
-                kept.append(raw if text.is_valid else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("same"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["doc_id", "same", "n_words", "n_removed", "kept"],
-            )
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n_words, n_removed, kept = [], [], []
+        for text, ranges in zip(batch.column("text"), batch.column("ranges")):
+            got = (text.as_py() or "").encode().split()  # parts at exactly the white space that ends a word here
+            n_words.append(len(got))
+            if ranges.is_valid:
+                got = list(compress(got, keep_mask(len(got), ranges.as_py()).tolist()))
+            n_removed.append(n_words[-1] - len(got))
+            kept.append(b" ".join(got) if text.is_valid else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("same"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+            ["doc_id", "same", "n_words", "n_removed", "kept"],
+        )
 
-    return run
 
-
-def dedup_substrings(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int = HOT_BUCKET, layout: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int = HOT_BUCKET) -> DataFrame:
     """doc_id, same (hash of the text), n_words, n_removed and kept of each row.
 
     A window is ``window`` consecutive words of one document. Every word covered by a window whose words also
     stand in a document with a smaller doc_id is removed; all windows are judged on the input. ``kept`` has the
-    words that stay, joined by one space or, with ``layout``, in their own white space. Null text: no words,
-    kept null. Texts shorter than a window lose nothing. A row without doc_id is before and after no other: it
+    words that stay, joined by one space. Null text: no words, kept null. Texts shorter than a window lose nothing. A row without doc_id is before and after no other: it
     loses nothing and takes nothing. Equal rows stay equal, for windows of one doc_id never remove each other.
     An empty table gives an empty result. Other columns are not read.
     """
     docs, ranges = covered_ranges(docs, window, gram, hot)
-    return docs.join(ranges, ["doc_id", "same"], "left").mapInArrow(_cleaned(layout), "doc_id long, same long, n_words long, n_removed long, kept string")
+    return docs.join(ranges, ["doc_id", "same"], "left").mapInArrow(_cleaned, "doc_id long, same long, n_words long, n_removed long, kept string")
+
+
+def _cut_texts(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
+    out = []
+    for text, own in zip(texts, ranges):
+        if own is None or text is None:
+            out.append((text, 0))
+        else:
+            raw = text.encode()
+            out.append((_cut(raw, own).decode(), int((~keep_mask(len(raw.split()), own)).sum())))
+    return pd.DataFrame(out, columns=["text", "n_removed"])
+
+
+def remove_passages(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int = HOT_BUCKET) -> DataFrame:
+    """``docs`` (doc_id, text and any others) with the words that ``dedup_substrings`` removes cut from text, and n_removed.
+
+    The words that stay keep their white space. A column of ``docs`` named n_removed is replaced.
+    """
+    table = keyed(docs, ("n_removed",))
+    _, ranges = covered_ranges(docs, window, gram, hot)
+    cut = table.join(ranges, ["doc_id", "same"], "left").withColumn("cut", F.pandas_udf(_cut_texts, "text string, n_removed long")("text", "ranges"))
+    return restored(cut, docs, F.col("cut.text"), {"n_removed": F.col("cut.n_removed")})

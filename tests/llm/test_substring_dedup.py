@@ -7,7 +7,7 @@ import re
 import pytest
 
 from skytally.llm.queries import QUERIES
-from skytally.llm.substring_dedup import dedup_substrings
+from skytally.llm.substring_dedup import dedup_substrings, remove_passages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -59,10 +59,15 @@ def test_equals_brute_force(docs, window, gram, hot):
     assert got(dedup_substrings(docs(rows), window, gram, hot)) == brute(rows, window)
 
 
-def test_layout_stays(docs):
+def test_remove_passages_keeps_white_space_and_columns(docs):
     p = " ".join("abcdefghij")
-    df = dedup_substrings(docs([(1, p), (2, "\n x\ty\n" + p + "  z\n"), (3, " k\n")]), 10, 3, layout=True)
-    assert {r.doc_id: r.kept for r in df.collect()} == {1: p, 2: "\n x\ty\nz\n", 3: " k\n"}
+    rows = [(1, p), (2, "\n x\ty\n" + p + "  z\n"), (3, " k\n"), (4, None), (None, p), (5, p)]
+    df = docs(rows)
+    got = remove_passages(df, 10, 3)
+    assert got.columns == [*df.columns, "n_removed"]
+    want = {(1, p, 0), (2, "\n x\ty\nz\n", 10), (3, " k\n", 0), (4, None, 0), (None, p, 0), (5, "", 10)}
+    assert {(r.doc_id, r.text, r.n_removed) for r in got.collect()} == want
+    assert {(r.lang, r.bucket, r.same, r.n, r.part, r.component_id) for r in got.collect()} == {("x", 1, "y", 2, 3, "z")}
 
 
 def test_empty_table(docs):
