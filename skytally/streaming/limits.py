@@ -7,10 +7,11 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import normalize_text
 from ..operators.windows import failure_streaks, previous_in_group
+from ..session import new_folder
+from .loads import finish
 
 PER_MINUTE = 6
 BREAKER_FAILURES = 3
@@ -42,7 +43,8 @@ def daily_counters(events: DataFrame, ts: str, keys: Sequence[str], sums: dict[s
 def breaker(events: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], failed: Column, chunk: Column,
             failures: int = BREAKER_FAILURES, pause: int = BREAKER_PAUSE_SECONDS) -> DataFrame:
     """Batch form over recorded calls: the run of failures at each call, whether it opens (or reopens)
-    the breaker, and until when it then stays open. After the pause one more failure reopens it."""
+    the breaker, and until when it then stays open. After the pause one more failure reopens it. A record of
+    calls that were made, so calls inside a pause count like any other; ``breaker_stream`` is the form that blocks."""
     runs = failure_streaks(events, keys, [ts, *tie], failed, chunk)
     opens = F.col("sequencia") >= failures
     return runs.withColumns({"abre": opens, "pausa_ate": F.when(opens, F.col(ts) + F.make_dt_interval(secs=F.lit(float(pause))))})
@@ -63,33 +65,49 @@ def first_within_watermark(stream: DataFrame, text: str, ts: str, days: int = RE
     return rows.withWatermark(ts, f"{days} days").dropDuplicatesWithinWatermark(["_norm"]).drop("_norm")
 
 
-_STATE = "falhas int, pausa_ate timestamp"
-
-
-def breaker_stream(events: DataFrame, key: str, ts: str, failed: Column, failures: int = BREAKER_FAILURES,
-                   pause: int = BREAKER_PAUSE_SECONDS) -> DataFrame:
+def breaker_stream(events: DataFrame, key: str, ts: str, tie: str, failed: Column, target: str | None = None,
+                   failures: int = BREAKER_FAILURES, pause: int = BREAKER_PAUSE_SECONDS) -> DataFrame:
     """Streaming form with state per key: a call inside a pause is blocked and changes nothing.
 
-    The state is one counter and one time. Calls of a batch are taken in time order; pages of a
-    large group arrive one after another and are never joined.
+    Run over the available input; the stored rows are (tie, key, ts, falhou, bloqueada, falhas, pausa_ate). The
+    calls of a batch are sorted by key, time and ``tie`` by Spark, which spills, and pass a task one by one; a task
+    holds a counter and a time. These are kept per key from batch to batch, and forgotten when they say nothing
+    any more. The batch number is part of every path, so a batch that is run again replaces its own output.
     """
+    spark = events.sparkSession
+    target = target or new_folder(spark, "disjuntor")
+    state = f"{key} long, _falhas int, _pausa timestamp"
+    schema = f"{tie} long, {key} long, {ts} timestamp, falhou boolean, bloqueada boolean, falhas int, pausa_ate timestamp"
     step = pd.Timedelta(seconds=pause)
-    out_schema = f"{key} long, {ts} timestamp, falhou boolean, bloqueada boolean, falhas int, pausa_ate timestamp"
 
-    def run(group: tuple, pages: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        count, until = state.get if state.exists else (0, None)
-        until = None if until is None or pd.isna(until) else pd.Timestamp(until)
+    def follow(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, count, until = object(), 0, None
         for page in pages:
             out = []
-            for when, bad in page.sort_values([ts, "falhou"])[[ts, "falhou"]].itertuples(index=False):
+            for ident, who, when, bad, before, paused in page.itertuples(index=False):
+                if who != now:
+                    now, count = who, 0 if pd.isna(before) else int(before)
+                    until = None if pd.isna(paused) else paused
                 blocked = until is not None and when < until
                 if not blocked:
                     count = count + 1 if bad else 0
                     if count >= failures:
                         until, count = when + step, failures - 1
-                out.append((group[0], when, bool(bad), blocked, count, until))
-            yield pd.DataFrame(out, columns=[key, ts, "falhou", "bloqueada", "falhas", "pausa_ate"])
-        state.update((count, until.to_pydatetime() if until is not None else None))
-
-    rows = events.select(F.col(key).cast("long").alias(key), F.col(ts).cast("timestamp").alias(ts), F.coalesce(failed, F.lit(False)).alias("falhou"))
-    return rows.groupBy(key).applyInPandasWithState(run, out_schema, _STATE, "append", GroupStateTimeout.NoTimeout)
+                out.append((ident, who, when, bad, blocked, count, until))
+            yield pd.DataFrame(out, columns=[tie, key, ts, "falhou", "bloqueada", "falhas", "pausa_ate"])
+
+    def write(batch: DataFrame, number: int) -> None:
+        before = spark.read.parquet(f"{target}/estado/{number - 1}") if number else spark.createDataFrame([], state)
+        rows = batch.join(before, key, "left").select(tie, key, ts, "falhou", "_falhas", "_pausa")
+        rows.repartition(key).sortWithinPartitions(key, ts, tie).mapInPandas(follow, schema).write.mode("overwrite").parquet(f"{target}/chamadas/lote={number}")
+        done = spark.read.parquet(f"{target}/chamadas/lote={number}")
+        last = done.groupBy(key).agg(F.max_by(F.struct("falhas", "pausa_ate", ts), F.struct(ts, tie)).alias("_l"))
+        open_ = (F.col("_l.falhas") > 0) | (F.col("_l.pausa_ate") > F.col(f"_l.{ts}"))
+        new = last.where(open_).select(key, F.col("_l.falhas").alias("_falhas"), F.col("_l.pausa_ate").alias("_pausa"))
+        before.join(last, key, "left_anti").unionByName(new).write.mode("overwrite").parquet(f"{target}/estado/{number}")
+
+    rows = events.select(F.col(tie).cast("long").alias(tie), F.col(key).cast("long").alias(key), F.col(ts).cast("timestamp").alias(ts), F.coalesce(failed, F.lit(False)).alias("falhou"))
+    rows = rows.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    spark.createDataFrame([], schema).write.parquet(f"{target}/chamadas/lote=-1")
+    finish(rows.writeStream.option("checkpointLocation", new_folder(spark, "ckpt")).foreachBatch(write))
+    return spark.read.parquet(f"{target}/chamadas").drop("lote")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from ..operators.quality import split_quality
 from ..session import new_folder
 
 
-def _finish(writer) -> None:
+def finish(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
@@ -27,7 +27,7 @@ def load_new_files(
         return
     stream = spark.readStream.schema(schema).options(**options).format(fmt).load(source)
     out = transform(stream) if transform else stream
-    _finish(out.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", target))
+    finish(out.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", target))
 
 
 def _has_rows(spark: SparkSession, path: str) -> bool:
@@ -44,20 +44,28 @@ def stream_table(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).options(**options).parquet(path)
 
 
-def run_to_table(result: DataFrame, target: str | None = None, mode: str = "complete") -> DataFrame:
+def run_to_table(result: DataFrame, target: str | None = None, keys: Sequence[str] | None = None) -> DataFrame:
     """Run a stream over the available input and return the stored result.
 
-    Complete mode replaces the table with each batch; append mode adds to it.
+    Without ``keys`` new rows are appended. With them the stream runs in update mode, so its state goes when the
+    watermark has passed, and the last row written for each key counts. The batch number is part of the path, so a
+    batch that is run again replaces its own output.
     """
     spark = result.sparkSession
     target = target or new_folder(spark, "stream")
-    keep = "overwrite" if mode == "complete" else "append"
+    spark.createDataFrame([], result.schema).write.parquet(f"{target}/lote=-1")
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode(keep).parquet(target)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/lote={number}")
 
-    _finish(result.writeStream.outputMode(mode).option("checkpointLocation", new_folder(spark, "ckpt")).foreachBatch(write))
-    return spark.read.schema(result.schema).parquet(target)
+    mode = "update" if keys else "append"
+    finish(result.writeStream.outputMode(mode).option("checkpointLocation", new_folder(spark, "ckpt")).foreachBatch(write))
+    stored = spark.read.option("basePath", target).parquet(target)
+    if not keys:
+        return stored.drop("lote")
+    rest = [c for c in result.columns if c not in keys]
+    last = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), "lote").alias("_last"))
+    return last.select(*[c if c in keys else F.col(f"_last.{c}").alias(c) for c in result.columns])
 
 
 def split_stream(marked: DataFrame, audited_path: str, quarantine_path: str, checkpoint: str) -> None:
@@ -75,7 +83,7 @@ def split_stream(marked: DataFrame, audited_path: str, quarantine_path: str, che
         finally:
             batch.unpersist()
 
-    _finish(marked.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write))
+    finish(marked.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write))
 
 
 def as_event_time(df: DataFrame, column: str) -> DataFrame:

@@ -156,7 +156,7 @@ def a5(spark, sf):
 @query("a5_metrics_from_stored_cube", "SELECT ano_mes, icao_origem, " + ", ".join(f"{v} AS {k}" for k, v in _RATIOS.items()) + " FROM cubo GROUP BY 1, 2")
 def a5_cube(spark, sf):
     names = [n for n in METRICS if n not in MEASURES]
-    return cb.additive_cube(t.rows(spark, sf)).groupBy("ano_mes", "icao_origem").agg(*metrics(*names))
+    return t.stored_cube(spark, sf).fato.groupBy("ano_mes", "icao_origem").agg(*metrics(*names))
 
 
 @query("a6_conditional_means", f"SELECT codigo_di, {_DELAY} AS medio_realizados, avg(duracao_voo_min) FILTER (WHERE partida_pontual) AS duracao_pontuais FROM linhas GROUP BY 1")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import questions as qs
-from ..plans.cube import additive_cube
 from ..plans.questions import Cube, Place, Question
 from . import tables as t
 from .registry import query
@@ -316,8 +315,19 @@ def k25(spark, sf):
 SELECT e.nome AS empresa, {TAXA} AS taxa, {VOOS} AS programados FROM {EMP} GROUP BY e.nome HAVING sum(f.voos) >= 500
 ORDER BY taxa DESC, empresa LIMIT 15""")
 def k1_cube(spark, sf):
-    stored = additive_cube(t.rows(spark, sf))
-    return qs.cancellation_ranking(Cube(stored, t.empresa(spark, sf), t.aerodromo(spark, sf)))
+    return qs.cancellation_ranking(t.stored_cube(spark, sf))
+
+
+@query("k4_airports_from_stored_cube", f"""
+SELECT a.icao, a.rotulo AS local, a.latitude, a.longitude, {VOOS} AS voos, {OTP} AS otp FROM {ORI} WHERE a.latitude IS NOT NULL
+GROUP BY a.icao, a.rotulo, a.latitude, a.longitude HAVING sum(f.voos) >= 900 ORDER BY voos DESC, a.icao LIMIT 80""")
+def k4_cube(spark, sf):
+    return qs.busiest_airports(t.stored_cube(spark, sf))
+
+
+@query("k18_state_from_stored_cube", _direction_sql("SELECT icao FROM aerodromo WHERE uf = 'R1'", False, 300, "abs(chegando - saindo)"))
+def k18_cube(spark, sf):
+    return qs.direction_compare(t.stored_cube(spark, sf), Place("uf", "R1"), min_flights=300)
 
 
 @query("t4_row_cap", "SELECT icao_origem, icao_destino, CAST(sum(voos) AS BIGINT) AS voos FROM cubo GROUP BY 1, 2 ORDER BY voos DESC, 1, 2 LIMIT 500")

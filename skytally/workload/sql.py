@@ -172,7 +172,8 @@ WITH base AS (
     v.partida_prevista_hora, v.partida_real_hora, v.chegada_prevista_hora, v.chegada_real_hora, v.atraso_partida_min,
     v.atraso_chegada_min, v.minutos_recuperados, v.flag_realizado, v.flag_cancelado, v.partida_pontual, v.chegada_pontual,
     v.partida_atrasada, v.partida_atraso_severo, v.duracao_voo_min, v.periodo_partida, v.situacao_voo,
-    v.codigo_justificativa, v.origem_arquivo, v.transformado_em, v.data_partida_prevista, v.pedido, v.item
+    v.codigo_justificativa, v.origem_arquivo, v.transformado_em, v.data_partida_prevista, v.pedido, v.item,
+    row_number() OVER (ORDER BY v.data_partida_prevista NULLS FIRST, CAST(v.icao_empresa AS VARCHAR), CAST(v.numero_voo AS VARCHAR) NULLS FIRST, v.pedido, v.item) AS id_voo
   FROM linhas v
   LEFT JOIN dim_empresa e ON CAST(v.icao_empresa AS VARCHAR) = e.icao
   LEFT JOIN dim_aerodromo ao ON CAST(v.icao_origem AS VARCHAR) = ao.icao
@@ -182,7 +183,7 @@ WITH base AS (
   LEFT JOIN dim_rota r ON CAST(v.icao_origem AS VARCHAR) = r.icao_origem AND CAST(v.icao_destino AS VARCHAR) = r.icao_destino
   WHERE v.icao_empresa IS NOT NULL
 ), obt AS (
-  SELECT f.icao_empresa, e.razao_social AS empresa_nome, e.iata AS empresa_iata, e.servico AS empresa_servico,
+  SELECT f.id_voo, f.icao_empresa, e.razao_social AS empresa_nome, e.iata AS empresa_iata, e.servico AS empresa_servico,
     e.origem_cadastro AS empresa_origem, e.situacao AS empresa_situacao, e.flag_ativa AS empresa_ativa,
     f.icao_origem, ao.nome AS origem_nome, ao.municipio AS origem_municipio, ao.uf_nome AS origem_uf,
     ao.latitude AS origem_latitude, ao.longitude AS origem_longitude, ao.status_operacional AS origem_status,

@@ -19,7 +19,7 @@ _FACT_SQL = """sk_empresa, sk_aerodromo_origem, sk_aerodromo_destino, sk_tempo_p
   sk_tipo_linha, sk_situacao, sk_rota, icao_empresa, numero_voo, codigo_di, icao_origem, icao_destino, partida_prevista_hora,
   partida_real_hora, chegada_prevista_hora, chegada_real_hora, atraso_partida_min, atraso_chegada_min, minutos_recuperados,
   flag_realizado, flag_cancelado, partida_pontual, chegada_pontual, partida_atrasada, partida_atraso_severo, duracao_voo_min,
-  periodo_partida, situacao_voo, codigo_justificativa, origem_arquivo, transformado_em, data_partida_prevista, pedido, item"""
+  periodo_partida, situacao_voo, codigo_justificativa, origem_arquivo, transformado_em, data_partida_prevista, pedido, item, id_voo"""
 
 
 @query("m7_otp_by_company_month", """
@@ -68,7 +68,7 @@ def m5(spark, sf):
 
 @query("m6_fato_voos", f"SELECT {_FACT_SQL} FROM fato")
 def m6(spark, sf):
-    return t.fact(spark, sf, t.dims(spark, sf))
+    return t.fact(spark, sf, t.dims(spark, sf), numbered=True)
 
 
 @query("w3_surrogate_key_large", """
@@ -92,7 +92,7 @@ def w2(spark, sf):
 
 @query("m8_obt_voos", "SELECT * FROM obt")
 def m8(spark, sf):
-    return t.obt(spark, sf)
+    return t.obt(spark, sf, numbered=True)
 
 
 @query("m9_export_empresa", """

@@ -48,7 +48,7 @@ def r2_hour(spark, sf):
 @query("r2_rate_flags_stream", _RATES.format(w="hour", n=1), views=False)
 def r2_stream(spark, sf):
     stream = loads.stream_table(spark, _source(sf))
-    return loads.run_to_table(limits.rate_flags(stream, "user_id", "ts", 1, "1 hour", "1 hour"))
+    return loads.run_to_table(limits.rate_flags(stream, "user_id", "ts", 1, "1 hour", "1 hour"), keys=["user_id", "inicio"])
 
 
 _DAILY = """
@@ -68,7 +68,7 @@ def r3(spark, sf):
 @query("r3_daily_counters_stream", _DAILY, views=False)
 def r3_stream(spark, sf):
     stream = _cents(loads.stream_table(spark, _source(sf)))
-    return loads.run_to_table(limits.daily_counters(stream, "ts", ["event_type"], {"_c": "centavos"}, "1 day"))
+    return loads.run_to_table(limits.daily_counters(stream, "ts", ["event_type"], {"_c": "centavos"}, "1 day"), keys=["dia", "event_type"])
 
 
 _RUNS = """
@@ -92,10 +92,19 @@ def r4_breaker(spark, sf):
         "event_id", "user_id", "sequencia", "abre", "pausa_ate")
 
 
-@query("r4_breaker_stream")
+@query("r4_breaker_stream", """
+WITH RECURSIVE e AS (SELECT event_id, user_id, ts, event_type = 'error' AS falhou, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (
+  SELECT event_id, user_id, ts, falhou, n, false AS bloqueada, CASE WHEN falhou THEN 1 ELSE 0 END AS falhas, CAST(NULL AS TIMESTAMP) AS pausa_ate FROM e WHERE n = 1
+  UNION ALL
+  SELECT e.event_id, e.user_id, e.ts, e.falhou, e.n, coalesce(e.ts < r.pausa_ate, false),
+    CASE WHEN coalesce(e.ts < r.pausa_ate, false) THEN r.falhas WHEN NOT e.falhou THEN 0 WHEN r.falhas = 2 THEN 2 ELSE r.falhas + 1 END,
+    CASE WHEN NOT coalesce(e.ts < r.pausa_ate, false) AND e.falhou AND r.falhas = 2 THEN e.ts + INTERVAL 5 MINUTE ELSE r.pausa_ate END
+  FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+SELECT event_id, user_id, falhou, bloqueada, falhas, pausa_ate FROM r""", views=False)
 def r4_stream(spark, sf):
     stream = loads.stream_table(spark, _source(sf))
-    return loads.run_to_table(limits.breaker_stream(stream, "user_id", "ts", F.col("event_type") == "error"), mode="append")
+    return limits.breaker_stream(stream, "user_id", "ts", "event_id", F.col("event_type") == "error").drop("ts")
 
 
 @query("r5_repeats_within", """
@@ -106,12 +115,10 @@ def r5(spark, sf):
     return rows.select("event_id", "anterior", "repetida")
 
 
-@query("r5_first_within_watermark_stream", """
-SELECT CAST(count(*) AS BIGINT) AS primeiras FROM (SELECT props, min(ts) FROM events GROUP BY 1)""", views=False)
+@query("r5_first_within_watermark_stream", "SELECT DISTINCT props FROM events", views=False)
 def r5_stream(spark, sf):
     stream = loads.stream_table(spark, _source(sf))
-    firsts = limits.first_within_watermark(stream, "props", "ts", 60)
-    return loads.run_to_table(firsts, mode="append").agg(F.count(F.lit(1)).alias("primeiras"))
+    return loads.run_to_table(limits.first_within_watermark(stream, "props", "ts", 60)).select("props")
 
 
 @query("r6_quality_split_stream", """

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from ..functions.typing import label_of
 from ..plans import star
-from ..plans.cube import export_months, measure_rows
+from ..plans.cube import additive_cube, export_months, measure_rows
 from ..plans.questions import Cube
-from ..session import spread
+from ..session import new_folder, spread
 from ..plans.silver import silver_airports, silver_companies, with_delays
 
 
@@ -198,9 +198,9 @@ def fact(spark, sf, d: dict[str, DataFrame], numbered: bool = False) -> DataFram
     return star.build_fact(flights(spark, sf, text_codes=True), d, numbered, ("pedido", "item"), ("pedido", "item"))
 
 
-def obt(spark, sf) -> DataFrame:
+def obt(spark, sf, numbered: bool = False) -> DataFrame:
     d = dims(spark, sf)
-    return star.build_obt(fact(spark, sf, d), d)
+    return star.build_obt(fact(spark, sf, d, numbered), d)
 
 
 # --- Export-shaped dimensions keyed by the integer codes ---------------------------------------
@@ -253,6 +253,22 @@ def cube(spark, sf, origin: bool = True, destination: bool = True) -> Cube:
     return Cube(measure_rows(r), lambda: empresa(spark, sf), lambda: aerodromo(spark, sf), lambda: rota(spark, sf), lambda: tempo(spark, sf))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_cube(spark, sf) -> Cube:
+    """The additive cube and its dimensions, written to the shared folder by the first question of an application and read after that."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _STORED:
+        path = new_folder(spark, "cubo")
+        parts = {"fato": additive_cube(rows(spark, sf)), "empresa": empresa(spark, sf), "aerodromo": aerodromo(spark, sf), "rota": rota(spark, sf), "tempo": tempo(spark, sf)}
+        for name, df in parts.items():
+            df.write.parquet(f"{path}/{name}")
+        _STORED[known] = path
+    part = lambda name: spark.read.parquet(f"{_STORED[known]}/{name}")
+    return Cube(part("fato"), *(lambda n=n: part(n) for n in ("empresa", "aerodromo", "rota", "tempo")))
+
+
 def lines(spark, sf, name: str = "documents", key: str = "doc_id") -> DataFrame:
     """Non-empty text lines of a table, numbered inside each text."""
     return spread(table(spark, sf, name).select(key, "text")).select(key, F.posexplode(F.split("text", "\n")).alias("linha", "texto")).filter(

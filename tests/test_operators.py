@@ -75,6 +75,28 @@ def test_nearest_rank_equals_sorting(spark):
     assert got.count() == 3
 
 
+def test_null_keys_and_times_stay(spark):
+    data = [(None, 1, True), (None, 2, True), (None, 15, True), (7, None, True), (7, 3, False)]
+    df = spark.createDataFrame(data, "k int, t int, bad boolean")
+    runs = wn.failure_streaks(df, ["k"], ["t"], F.col("bad"), F.floor(F.col("t") / 10))
+    assert {(r.k, r.t): r.sequencia for r in runs.collect() if r.t is not None} == {(None, 1): 1, (None, 2): 2, (None, 15): 3, (7, 3): 0}
+    assert runs.count() == len(data)
+    prev = wn.previous_in_group(df.where("t IS NOT NULL"), ["k"], ["t"], {"t": "antes"}, F.floor(F.col("t") / 10))
+    assert {(r.k, r.t): r.antes for r in prev.collect()} == {(None, 1): None, (None, 2): 1, (None, 15): 2, (7, 3): None}
+
+
+def test_nearest_rank_of_all_rows(spark):
+    df = spark.createDataFrame([(float(x),) for x in [*range(1, 100), 10**8, 10**15]], "v double")
+    assert tuple(wn.nearest_rank(df, [], "v", {"p50": 0.5, "p95": 0.95, "p100": 1.0}).first()) == (51.0, 96.0, 1e15)
+
+
+def test_tolerance_of_zero_is_equality(spark):
+    want = spark.createDataFrame([("a", 1.5, 0.0), ("a", 2.5, 0.0), ("a", 9.0, -1.0), ("a", 9.0, None)], "s string, e double, tol double")
+    have = spark.createDataFrame([("a", 1.5), ("a", 2.4), ("a", 9.0)], "s string, v double")
+    assert rows(rc.match_with_tolerance(want, have, ["s"], "e", "tol", "v")) == [("a", 1.5, 0.0)]
+    assert rc.match_with_tolerance(want, have, ["s"], "e", "tol", "v", how="anti").count() == 3
+
+
 def test_unique_label(spark):
     df = spark.createDataFrame([("RIO", "SBGL"), ("RIO", "SBRJ"), ("BSB", "SBBR")], "l string, c string")
     assert rows(wn.unique_label(df, "l", "c", "r").select("r")) == [("BSB",), ("RIO (SBGL)",), ("RIO (SBRJ)",)]

@@ -117,16 +117,11 @@ def test_semantic_layer():
     assert ql.check_semantic_layer({"t": ["a", "c"]}, {"t": Table}) == ["t.c: descrita e inexistente", "t.b: sem descricao"]
 
 
-def test_breaker_stream_equals_loop(spark, tmp_path):
-    start = pd.Timestamp("2026-01-01")
-    data = [(1 + i % 2, start + pd.Timedelta(seconds=70 * i), i % 7 != 0) for i in range(60)]
-    spark.createDataFrame([(k, ts.to_pydatetime(), bad) for k, ts, bad in data], "k long, ts timestamp, bad boolean").repartition(3).write.parquet(str(tmp_path / "e"))
-    stream = loads.stream_table(spark, str(tmp_path / "e"))
-    got = loads.run_to_table(limits.breaker_stream(stream, "k", "ts", F.col("bad")), mode="append").orderBy("k", "ts").collect()
+def _breaker_loop(data):
     want = []
-    for key in (1, 2):
+    for key in sorted({k for k, *_ in data}):
         n, until = 0, None
-        for k, ts, bad in sorted(data):
+        for k, ts, ident, bad in sorted(data):
             if k != key:
                 continue
             blocked = until is not None and ts < until
@@ -134,8 +129,39 @@ def test_breaker_stream_equals_loop(spark, tmp_path):
                 n = n + 1 if bad else 0
                 if n >= 3:
                     until, n = ts + pd.Timedelta(seconds=300), 2
-            want.append((k, ts, bad, blocked))
-    assert [(r["k"], pd.Timestamp(r["ts"]), r["falhou"], r["bloqueada"]) for r in got] == want
+            want.append((ident, k, ts, bad, blocked, n))
+    return sorted(want)
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_breaker_stream_equals_loop(spark, tmp_path, batches):
+    """One key with more calls than an Arrow page, written in reverse; ties of time; state from batch to batch."""
+    start = pd.Timestamp("2026-01-01")
+    data = [(1, start + pd.Timedelta(seconds=40 * (i // 2)), i, i % 7 != 0 and i % 11 != 0) for i in range(12_000)]
+    data += [(k, start + pd.Timedelta(seconds=70 * i), 20_000 + 100 * k + i, i % 5 != 0) for k in (2, 3) for i in range(60)]
+    data.sort(key=lambda r: r[1])
+    size = -(-len(data) // batches)
+    for b in range(batches):
+        part = pd.DataFrame(data[b * size : (b + 1) * size][::-1], columns=["k", "ts", "id", "bad"])
+        spark.createDataFrame(part).coalesce(1).write.parquet(str(tmp_path / "e"), mode="append")
+    stream = loads.stream_table(spark, str(tmp_path / "e"), maxFilesPerTrigger=1)
+    got = limits.breaker_stream(stream, "k", "ts", "id", F.col("bad")).collect()
+    assert sorted((r["id"], r["k"], pd.Timestamp(r["ts"]), r["falhou"], r["bloqueada"], r["falhas"]) for r in got) == [
+        (i, k, ts, bad, blocked, n) for i, k, ts, bad, blocked, n in _breaker_loop(data)]
+
+
+def test_headers_below_any_preamble(spark, tmp_path):
+    deep = "\n".join(["Atualizado em: 2024-01-01"] * 9 + ["a;b", "1;2", "3;4;5"])
+    (tmp_path / "x y.csv").write_text(deep)
+    (tmp_path / "z.csv").write_text("b;c\n6;7\n")
+    assert raw.header_of(spark, str(tmp_path / "x y.csv")) == ["a", "b"]
+    df = raw.read_raw_layouts(spark, [str(tmp_path / "x y.csv"), str(tmp_path / "z.csv")])
+    assert sorted((r.a or "", r.b, r.c or "", r._corrupt or "") for r in df.collect()) == [("", "6", "7", ""), ("1", "2", "", ""), ("3", "4", "", "3;4;5")]
+    (tmp_path / "p.csv").write_text("Atualizado em: hoje\n")
+    with pytest.raises(ValueError):
+        raw.header_of(spark, str(tmp_path / "p.csv"))
+    with pytest.raises(ValueError):
+        raw.read_raw_csv(spark, [str(tmp_path / "x y.csv"), str(tmp_path / "z.csv")])
 
 
 def test_quality_stream_keeps_every_row(spark, tmp_path):
