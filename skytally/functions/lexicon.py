@@ -66,6 +66,11 @@ TRIGGERS = [
     ("fora_do_grao.por_dia", r"\b(dia [0-9]{1,2}|[0-9]{1,2} de (janeiro|fevereiro|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro)|[0-9]{1,2}/[0-9]{1,2}|ontem|anteontem|hoje|amanha|semana passada|segunda feira|terca feira|quarta feira|quinta feira|sexta feira|sabado|domingo|vespera|reveillon|ano novo|carnaval|feriado)\b"),
 ]
 
+# A greeting before the question itself.
+GREETING_PREFIX = r"^(oi+|ola|opa|eai|e ai|bom dia|boa tarde|boa noite|salve|fala)( (tudo bem|tudo bom|beleza|blz))? "
+
+MONTH_NAMES = ["janeiro", "fevereiro", "marco", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro", "novembro", "dezembro"]
+
 # A number as written in Portuguese text, with an optional scale word.
 NUMBER_PATTERN = (
     r"(?iu)(?<![\p{L}\p{N}_/.,])"

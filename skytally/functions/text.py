@@ -51,6 +51,11 @@ def words(normalized) -> Column:
     return F.filter(F.split(_c(normalized), "[ :/]+"), lambda w: w != "")
 
 
+def without_greeting(normalized) -> Column:
+    """The question after a greeting; a greeting alone stays."""
+    return F.regexp_replace(_c(normalized), lx.GREETING_PREFIX, "")
+
+
 def stem(word) -> Column:
     """Light stem: common plurals, then the longest known ending that leaves three letters."""
     w = _c(word)

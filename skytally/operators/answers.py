@@ -50,12 +50,24 @@ def extract_numbers(df: DataFrame, id_columns: Sequence[str], text: str) -> Data
     return rows.select(*id_columns, F.posexplode(tx.numbers_in(text)).alias("ordem", "_x")).select(*id_columns, "ordem", "_x.*")
 
 
-def known_numbers(results: DataFrame, key: str, numeric: Sequence[str]) -> DataFrame:
-    """Numbers an answer may quote: every cell, every column sum, and the row count."""
+def known_numbers(results: DataFrame, key: str, numeric: Sequence[str], texts: Sequence[str] = (), questions: DataFrame | None = None,
+                  question: str = "pergunta", facts: DataFrame | None = None) -> DataFrame:
+    """Numbers an answer may quote, as (key, valor): every cell, every column sum, the row count, and the numbers in text cells.
+
+    ``questions`` (key and a text) adds the numbers of the question. ``facts`` (valor) are known to every answer: their rows
+    have a NULL key, as ``unsupported_numbers`` expects of values that hold anywhere.
+    """
     cells = results.select(key, F.explode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("valor"))
     sums = results.groupBy(key).agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in numeric], F.count(F.lit(1)).cast("double").alias("_n"))
     totals = sums.select(key, F.explode(F.array(*[F.col(c) for c in numeric], F.col("_n"))).alias("valor"))
-    return cells.unionByName(totals).filter("valor IS NOT NULL")
+    known = cells.unionByName(totals)
+    for df, names in ((results, texts), (questions, [question])):
+        if df is not None:
+            for name in names:
+                known = known.unionByName(df.select(key, F.explode(tx.numbers_in(name)).alias("_x")).select(key, F.col("_x.valor").alias("valor")))
+    if facts is not None:
+        known = known.unionByName(facts.select(F.lit(None).cast(results.schema[key].dataType).alias(key), F.col("valor").cast("double").alias("valor")))
+    return known.filter("valor IS NOT NULL")
 
 
 def small_integer() -> Column:
@@ -65,10 +77,13 @@ def small_integer() -> Column:
 
 
 def unsupported_numbers(texts: DataFrame, key: str, text: str, known: DataFrame, value: str = "valor", scoped: bool = True) -> DataFrame:
-    """Numbers of a text that no known value of the same key supports (of any key when not scoped)."""
+    """Numbers of a text that no known value of the same key supports, nor one without a key (of any key when not scoped)."""
     numbers = extract_numbers(texts, [key], text).filter(~small_integer())
-    values = known.select(*([key] if scoped else []), F.col(value).alias("_kv"))
-    return match_with_tolerance(numbers, values, [key] if scoped else [], "valor", "tolerancia", "_kv", "anti")
+    values = known.select(key, F.col(value).alias("_kv"))
+    if scoped:
+        numbers = match_with_tolerance(numbers, values.filter(F.col(key).isNotNull()), [key], "valor", "tolerancia", "_kv", "anti")
+        values = values.filter(F.col(key).isNull())
+    return match_with_tolerance(numbers, values.drop(key), [], "valor", "tolerancia", "_kv", "anti")
 
 
 def answer_tolerance(value) -> Column:

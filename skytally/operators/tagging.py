@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
+from ..functions.calendar import MONTH_ABBREVIATIONS
 from ..session import spread
 from .windows import previous_in_group
 
@@ -36,6 +37,43 @@ def default_rule(name: str, is_code: bool = False) -> Column:
     return F.when(tx.normalize_text(name).isin(lx.COMMON_WORD_NAMES), F.lit("nome")).otherwise(F.lit("livre"))
 
 
+def build_dictionary(airports: DataFrame, companies: DataFrame, months: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """The dictionary of all entities of the dimensions, as ``entity_dictionary`` gives it.
+
+    ``airports`` (icao, municipio, uf, estado), ``companies`` (marca), ``months`` (ano_mes). A name that is both a state's and
+    a city's means the state. A month counts with its year, and alone only where the data has it in one year. ``aliases``
+    (apelido, tipo, chave) add names of entities that exist; others are left out.
+    """
+    distinct = lambda df, *names: df.select(*names).filter(F.col(names[0]).isNotNull()).distinct()
+    states = distinct(airports, "uf", "estado").filter("estado IS NOT NULL")
+    state_names = states.select(tx.normalize_text("estado").alias("_s")).distinct()
+    cities = distinct(airports, "municipio")
+    cities = cities.join(state_names, tx.normalize_text("municipio") == F.col("_s"), "left_anti")
+    codes = distinct(airports.select(F.col("icao").cast("string").alias("icao")), "icao")
+    year, month = F.substring("ano_mes", 1, 4), F.substring("ano_mes", 6, 2).cast("int")
+    when = distinct(months, "ano_mes").select("ano_mes", year.alias("_y"), month.alias("_m"))
+    name_of = lambda names: F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_m"))
+    forms = [F.concat(name_of(names), F.lit(between), "_y") for names in (lx.MONTH_NAMES, MONTH_ABBREVIATIONS) for between in (" de ", " ", "/")]
+    dated = when.select("ano_mes", F.explode(F.array_distinct(F.array(*forms))).alias("nome"))
+    alone = when.groupBy("_m").agg(F.min("ano_mes").alias("ano_mes"), F.count(F.lit(1)).alias("_n")).filter("_n = 1").select("ano_mes", name_of(lx.MONTH_NAMES).alias("nome"))
+    parts = [
+        entity_dictionary(states, "estado", F.lit("uf"), F.col("uf"), default_rule("estado")),
+        entity_dictionary(states, "uf", F.lit("uf"), F.col("uf"), default_rule("uf", is_code=True)),
+        entity_dictionary(cities, "municipio", F.lit("municipio"), F.col("municipio"), default_rule("municipio")),
+        entity_dictionary(codes, "icao", F.lit("aeroporto"), F.col("icao")),
+        entity_dictionary(distinct(companies, "marca"), "marca", F.lit("marca"), F.col("marca")),
+        entity_dictionary(dated.unionByName(alone), "nome", F.lit("mes"), F.col("ano_mes")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if aliases is not None:
+        there = out.select(F.col("tipo").alias("_t"), F.col("chave").alias("_c")).distinct()
+        known = aliases.join(there, (aliases["tipo"] == F.col("_t")) & (aliases["chave"].cast("string") == F.col("_c")), "left_semi")
+        out = out.unionByName(entity_dictionary(known, "apelido", F.col("tipo"), F.col("chave")))
+    return out.distinct()
+
+
 def _written_as_name(original: Column, name: Column) -> Column:
     """Some word of the text is the name with its accent, or with a capital when it has none."""
     plain = tx.normalize_text(name)

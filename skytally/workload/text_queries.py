@@ -86,6 +86,11 @@ def x2(spark, sf):
     return c.select("conv_id", "turn", F.size("k").alias("n_termos"), F.array_join("k", " ").alias("termos"))
 
 
+_RUNS_KNOWN = """
+SELECT CAST(c_nationkey AS BIGINT) AS k, CAST(c_custkey AS DOUBLE) AS valor FROM customer UNION ALL SELECT c_nationkey, sum(c_custkey) FROM customer GROUP BY 1
+UNION ALL SELECT c_nationkey, count(*) FROM customer GROUP BY 1 UNION ALL SELECT c_nationkey, c_custkey * 1000 FROM customer
+UNION ALL SELECT n_nationkey, n_nationkey + 1900 FROM nation UNION ALL SELECT NULL, count(*) FROM region"""
+
 _DICE = f"""
 WITH a0 AS (SELECT doc_id * 100000 + linha AS id, {_terms(_norm('texto'))} AS k FROM ({_lines_sql('documents', 'doc_id')})),
 b0 AS (SELECT item_id * 1000 + linha AS conhecida, {_terms(_norm('texto'))} AS k FROM ({_lines_sql('benchmark', 'item_id')})),
@@ -141,6 +146,49 @@ def x4(spark, sf):
     return sm.top_similar(c, "id", b, "item_id", n=4)
 
 
+@query("x4_top_similar_with_fill", f"""
+WITH a0 AS (SELECT conv_id * 1000 + turn AS id, {_terms(_norm('text'))} AS k FROM conversations),
+b0 AS (SELECT item_id AS exemplo, {_terms(_norm('text'))} AS k FROM benchmark),
+p AS (SELECT a.id, b.exemplo, CASE WHEN len(a.k) = 0 OR len(b.k) = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(a.k, b.k)) / (len(a.k) + len(b.k)) END AS semelhanca FROM a0 a, b0 b),
+r AS (SELECT *, count(*) FILTER (semelhanca > 0) OVER (PARTITION BY id) AS s, row_number() OVER (PARTITION BY id ORDER BY semelhanca DESC, exemplo) AS rn FROM p)
+SELECT id, exemplo, semelhanca FROM r WHERE rn <= 2 AND semelhanca > 0 OR rn <= 3 AND semelhanca = 0 AND s < 2""", views=False)
+def x4_fill(spark, sf):
+    """Two similar examples at most, filled up to three with the first ones."""
+    terms = tx.content_terms(tx.normalize_text("text")).alias("termos")
+    c = t.table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), terms)
+    found = sm.top_similar(c, "id", t.table(spark, sf, "benchmark").select("item_id", terms), "item_id", n=2, minimum=3)
+    # A row with two similar examples gets a third; the check leaves out fills behind them.
+    ranked = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("semelhanca")).alias("s"), "exemplo"))).alias("l"), F.count_if(F.col("semelhanca") > 0).alias("n"))
+    rows = ranked.select("id", "n", F.explode("l").alias("x"))
+    return rows.filter("x.s < 0 OR n < 2").select("id", F.col("x.exemplo").alias("exemplo"), (-F.col("x.s")).alias("semelhanca"))
+
+
+_MONTHS = "['" + "','".join(lx.MONTH_NAMES) + "']"
+_SHORT = "['jan','fev','mar','abr','mai','jun','jul','ago','set','out','nov','dez']"
+
+
+@query("x5_build_dictionary", f""", m AS (SELECT DISTINCT ano_mes, left(ano_mes, 4) AS y, {_MONTHS}[CAST(right(ano_mes, 2) AS INT)] AS l, {_SHORT}[CAST(right(ano_mes, 2) AS INT)] AS c FROM tempo WHERE ano_mes IS NOT NULL)
+SELECT DISTINCT * FROM (
+  SELECT {_norm('estado')} AS frase, 'uf' AS tipo, uf AS chave FROM aerodromo WHERE uf IS NOT NULL AND estado IS NOT NULL
+  UNION ALL SELECT {_norm('uf')}, 'uf', uf FROM aerodromo WHERE uf IS NOT NULL AND estado IS NOT NULL
+  UNION ALL SELECT {_norm('municipio')}, 'municipio', municipio FROM aerodromo WHERE municipio IS NOT NULL
+  UNION ALL SELECT CAST(icao AS VARCHAR), 'aeroporto', CAST(icao AS VARCHAR) FROM aerodromo
+  UNION ALL SELECT {_norm('marca')}, 'marca', marca FROM empresa WHERE marca IS NOT NULL
+  UNION ALL SELECT unnest([l || ' de ' || y, l || ' ' || y, l || '/' || y, c || ' de ' || y, c || ' ' || y, c || '/' || y]), 'mes', ano_mes FROM m
+  UNION ALL SELECT l, 'mes', min(ano_mes) FROM m GROUP BY l HAVING count(*) = 1)""")
+def x5_dictionary(spark, sf):
+    return tg.build_dictionary(t.aerodromo(spark, sf), t.empresa(spark, sf), t.tempo(spark, sf)).select("frase", "tipo", "chave").distinct()
+
+
+@query("x11_known_numbers", _RUNS_KNOWN, views=False)
+def x11_known(spark, sf):
+    """A customer's orders as the result: balances, text cells with numbers, the question and one fact."""
+    c = t.table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("v"), F.concat(F.lit("saldo "), F.col("c_custkey").cast("string"), F.lit(" mil")).alias("t"))
+    q = t.table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.concat(F.lit("e em "), (F.col("n_nationkey") + 1900).cast("string"), F.lit("?")).alias("pergunta"))
+    facts = t.table(spark, sf, "region").agg(F.count(F.lit(1)).alias("valor"))
+    return an.known_numbers(c, "k", ["v"], ["t"], q, facts=facts).select(F.col("k").cast("long").alias("k"), "valor")
+
+
 def _phrases(spark, sf):
     """The first two and first three words of each benchmark text as names to look for."""
     words = F.split(tx.normalize_text("text"), " ")
@@ -204,7 +252,7 @@ def x6(spark, sf):
     return tg.detect_template(_masked_questions(spark, sf)).select("c_custkey", "erro", "medida", "taxa", "direcao", "serie")
 
 
-_FOLLOW = r"^(e|mas|agora|so|somente|apenas|tambem|entao|por|no|na|nos|nas|em|e no|e na|e em|e o|e a|e os|e as)\b"
+_FOLLOW = lx.FOLLOW_UP_PATTERN
 
 
 @query("x7_follow_up_flags", f"""
@@ -216,9 +264,16 @@ def x7(spark, sf):
     return tg.follow_up_flags(c, "conv_id", "turn", "text").select("conv_id", "turn", "turno_anterior", "continua")
 
 
-@query("x7_swapped_entities", "SELECT c_custkey, false AS troca_entidade FROM customer", views=False)
+@query("x7_swapped_entities", """
+SELECT c_custkey, c_custkey % 3 <> 2 AS troca_entidade FROM customer""", views=False)
 def x7_swap(spark, sf):
-    return tg.swapped_entities(_masked_questions(spark, sf), "mascarado", "entidades").select("c_custkey", "troca_entidade")
+    """Follow-ups that name another airport, an airport and a state, or add a word that links nothing."""
+    nation = t.table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    c = t.table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_nationkey", "n_regionkey")
+    masked = F.when(F.col("c_custkey") % 3 == 0, "e em #aeroporto").when(F.col("c_custkey") % 3 == 1, "agora do #marca").otherwise("e a chuva em #aeroporto")
+    entity = F.when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("marca:"), F.col("n_regionkey").cast("string"))).otherwise(F.concat(F.lit("aeroporto:"), F.col("n_nationkey").cast("string")))
+    rows = c.select("c_custkey", masked.alias("mascarado"), F.array(entity).alias("entidades"))
+    return tg.swapped_entities(rows, "mascarado", "entidades").select("c_custkey", "troca_entidade")
 
 
 @query("x8_result_summary", """

@@ -13,6 +13,7 @@ from skytally.operators import reconcile as rc
 from skytally.operators import similarity as sm
 from skytally.operators import tagging as tg
 from skytally.operators import windows as wn
+from skytally.functions import text as tx
 
 
 def rows(df):
@@ -189,6 +190,48 @@ def test_top_similar_equals_sorting(spark, block):
         assert sorted(got[i]) == sorted(chosen)
 
 
+def test_ready_answer_needs_the_same_entities_and_no_loose_number(spark):
+    known = spark.createDataFrame([(1, "quantos voos cancelados em #uf", ["uf:MG"]), (2, "qual a pontualidade de #uf", ["uf:SP"])], "j int, mascarado string, entidades array<string>")
+    asked = spark.createDataFrame([(1, "voos cancelados em #uf no brasil", ["uf:MG"]), (2, "voos cancelados em #uf", ["uf:SP"]), (3, "voos cancelados em #uf em 2026", ["uf:MG"]),
+                                   (4, "pontualidade de #uf", ["uf:SP"]), (5, "pontualidade com chuva de #uf", ["uf:SP"]), (6, None, None)], "i int, mascarado string, entidades array<string>")
+    got = {r.id: r.conhecida for r in sm.ready_answer(asked, "i", known, "j", threshold=0.5).collect()}
+    assert got == {1: 1, 4: 2}
+
+
+def test_top_similar_keeps_null_ids_and_ties(spark):
+    rows_ = spark.createDataFrame([(None, ["a"]), (1, ["a", "b"]), (2, None), (3, [])], "i int, termos array<string>")
+    ex = spark.createDataFrame([(None, ["a"]), (5, ["a"]), (7, ["b"])], "j int, termos array<string>")
+    got = sorted(((r.id or 0, r.exemplo or 0) for r in sm.top_similar(rows_, "i", ex, "j", n=2).collect()))
+    assert got == [(0, 0), (0, 5), (1, 0), (1, 5)]
+
+
+def test_dictionary(spark):
+    a = spark.createDataFrame([("SBSP", "São Paulo", "SP", "São Paulo"), ("SBPA", "Palmas", "PA", "Pará"), ("SBXX", None, None, None)], "icao string, municipio string, uf string, estado string")
+    c = spark.createDataFrame([("GOL",), ("GOL",), (None,)], "marca string")
+    m = spark.createDataFrame([("2025-08",), ("2026-08",), ("2025-12",)], "ano_mes string")
+    alias = spark.createDataFrame([("congonhas", "aeroporto", "SBSP"), ("confins", "aeroporto", "SBCF"), ("sampa", "uf", "SP")], "apelido string, tipo string, chave string")
+    got = {(r.frase, r.tipo, r.chave): r.regra for r in tg.build_dictionary(a, c, m, alias).collect()}
+    assert got[("sao paulo", "uf", "SP")] == "livre" and ("sao paulo", "municipio", "São Paulo") not in got
+    assert got[("para", "uf", "PA")] == "nome" and got[("pa", "uf", "PA")] == "maiuscula" and got[("palmas", "municipio", "Palmas")] == "nome"
+    assert {k[2] for k in got if k[1] == "mes" and k[0] in ("agosto de 2025", "ago/2025", "ago 2025")} == {"2025-08"}
+    assert ("dezembro", "mes", "2025-12") in got and not any(k[0] == "agosto" for k in got)
+    assert ("congonhas", "aeroporto", "SBSP") in got and ("sampa", "uf", "SP") in got and not any(k[0] == "confins" for k in got)
+    assert ("gol", "marca", "GOL") in got and ("sbxx", "aeroporto", "SBXX") in got
+
+
+def test_greeting_before_a_question(spark):
+    df = spark.createDataFrame([("Oi, tudo bem? Quantos voos?",), ("Bom dia! ",), ("oito voos",)], "s string")
+    assert [r[0] for r in df.select(tx.without_greeting(tx.normalize_text("s"))).collect()] == ["quantos voos", "bom dia", "oito voos"]
+
+
+def test_known_numbers_of_text_question_and_facts(spark):
+    res = spark.createDataFrame([(1, 10.0, "ago/2025: 1,5 mil"), (1, 20.0, None)], "k int, v double, t string")
+    q = spark.createDataFrame([(1, "e em 2026?")], "k int, pergunta string")
+    known = an.known_numbers(res, "k", ["v"], ["t"], q, facts=spark.createDataFrame([(99999.0,)], "valor double"))
+    said = spark.createDataFrame([(1, "Foram 1.500, 2026, 99.999 e 777; soma 30,0 e 45,5")], "k int, texto string")
+    assert [r.valor for r in an.unsupported_numbers(said, "k", "texto", known).orderBy("valor").collect()] == [45.5, 777.0]
+
+
 def test_same_question(spark):
     df = spark.createDataFrame([(["cancel", "marc"], ["cancel", "marc"]), (["marc", "tev"], ["cancel", "marc"]), (["cancel", "long", "marc"], ["cancel", "marc"])],
                                "a array<string>, b array<string>")
