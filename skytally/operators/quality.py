@@ -46,6 +46,14 @@ def expect(df: DataFrame, expectations: Mapping[str, Column], name: str = "expec
     return observed, seen
 
 
+def expectation_counts(df: DataFrame, expectations: Mapping[str, Column]) -> DataFrame:
+    """One row per expectation: rows, and rows that break it. One scan."""
+    total = F.count(F.lit(1)).alias("_n")
+    sums = df.agg(total, *[count_if(~F.coalesce(cond, F.lit(False))).alias(f"_{i}") for i, cond in enumerate(expectations.values())])
+    rows = [F.struct(F.lit(name).alias("expectativa"), F.col("_n").alias("linhas"), F.col(f"_{i}").alias("falhas")) for i, name in enumerate(expectations)]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def split_summary(marked: DataFrame, valid: str = "is_valid", reason: str = "motivo_exclusao") -> DataFrame:
     """Rows per side and reason; the rows of both sides add up to the input."""
     return marked.groupBy(

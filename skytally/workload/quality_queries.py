@@ -58,6 +58,19 @@ def q2(spark, sf):
     return observed
 
 
+_EXPECTED = {
+    "expect_icao_empresa_not_null": "icao_empresa IS NOT NULL", "expect_icao_empresa_valido": "valid_icao_empresa", "expect_icao_origem_valido": "valid_icao_origem",
+    "expect_icao_destino_valido": "valid_icao_destino", "expect_horarios_presentes": "valid_horarios", "expect_situacao_conhecida": "valid_situacao",
+}
+
+
+@query("q2_expectation_counts", _MARKED + " UNION ALL ".join(
+    f"SELECT '{name}' AS expectativa, count(*) AS linhas, count(*) FILTER (WHERE NOT coalesce({cond}, false)) AS falhas FROM julgados" for name, cond in _EXPECTED.items()))
+def q2_counts(spark, sf):
+    """All flights before the split, so every expectation has rows that break it."""
+    return ql.expectation_counts(_marked(spark, sf), silver.audited_expectations())
+
+
 @query("q3_quarantine", _MARKED + f"SELECT {_ROW}, motivo_exclusao FROM julgados WHERE NOT is_valid")
 def q3(spark, sf):
     return ql.split_quality(_marked(spark, sf), loaded_at=None)[1]
@@ -356,14 +369,22 @@ def q24(spark, sf):
     return ql.missing_placeholders(texts, "texto", known, "fato")
 
 
-@query("q13_q14_comment_coverage")
+@query("q13_q14_comment_coverage", """
+SELECT 'rota' AS tabela, count(*) AS registros, CAST(6 AS BIGINT) AS colunas, CAST(4 AS BIGINT) AS sem_comentario, 100.0::DOUBLE * 2 / 6 AS pct_documentado, 'gold' AS camada,
+  'distancia_km,icao_origem' AS comentadas FROM rota""")
 def q14(spark, sf):
-    """Comments, tags and documentation coverage of a saved dimension (metadata, no check in SQL)."""
+    """Comments, tags and documentation coverage of a saved dimension, with its rows."""
     name = "dim_rota_" + new_folder(spark, "x").rsplit("-", 1)[-1]
     catalog.save_table(t.rota(spark, sf), name, "Rotas em uso", new_folder(spark, "rota"))
     catalog.apply_comments(spark, name, {"icao_origem": "Codigo de origem", "distancia_km": "Distancia em km"})
     catalog.apply_tags(spark, name, {"camada": "gold"})
-    return catalog.comment_coverage(catalog.catalog_columns(spark, [name]))
+    columns = catalog.catalog_columns(spark, [name])
+    covered = catalog.comment_coverage(columns).select("colunas", "sem_comentario", "pct_documentado")
+    done = columns.filter("comment <> ''").agg(F.array_join(F.sort_array(F.collect_list("column_name")), ",").alias("comentadas"))
+    rows = catalog.layer_summary(spark, {"rota": name}).drop("colunas")
+    for one in (covered, done):  # one row each
+        rows = rows.withColumn("_x", one.select(F.struct("*")).scalar()).select(*rows.columns, "_x.*")
+    return rows.withColumn("camada", F.lit(catalog.table_tags(spark, name)["camada"]))
 
 
 @query("s16_write_by_month", "SELECT ano_mes, count(*) AS voos FROM linhas GROUP BY 1")

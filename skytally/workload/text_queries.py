@@ -359,6 +359,28 @@ def x12(spark, sf):
     return an.grade_answers(expected, cells)
 
 
+@query("x12_verdicts", """
+SELECT o_orderkey AS questao, motivo = '' AS ok, motivo FROM (SELECT o_orderkey, CASE
+  WHEN o_orderkey % 11 = 0 THEN 'erro: ' || left('limite de ' || o_orderkey || repeat(' x', 60), 90)
+  WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'virou consulta'
+  WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0 THEN 'não diz que o dado não existe'
+  WHEN o_orderkey % 3 = 0 THEN ''
+  WHEN o_orderkey % 13 = 0 THEN 'respondeu em prosa'
+  WHEN o_orderkey % 17 = 0 THEN '0 linhas'
+  WHEN o_orderstatus = 'P' THEN 'falta ' || (o_orderkey % 4 + 1)
+  ELSE '' END AS motivo FROM orders)""", views=False)
+def x12_verdicts(spark, sf):
+    """Answers whose kind, error, rows and text follow from the order key; partly shipped orders miss key values."""
+    k = F.col("o_orderkey")
+    o = t.table(spark, sf, "orders").select(
+        k.alias("questao"), (k % 3 == 0).alias("esperado_conversa"), (k % 5 == 0).alias("diz_que_nao"), "o_orderstatus",
+        F.when(k % 11 == 0, F.concat(F.lit("limite de "), k.cast("string"), F.repeat(F.lit(" x"), 60))).alias("erro"),
+        F.when((k % 3 == 0) & (k % 2 == 0), "consulta").when((k % 3 == 0) | (k % 13 == 0), "conversa").otherwise("consulta").alias("tipo"),
+        F.when(k % 17 == 0, 0).otherwise(3).alias("n_linhas"), F.when(k % 7 == 0, "Esse dado não existe.").otherwise("Nãoo sei, ou talvez.").alias("texto"))
+    graded = o.select("questao", (F.col("o_orderstatus") != "P").alias("ok"), F.when(F.col("o_orderstatus") == "P", F.col("questao") % 4 + 1).otherwise(0).alias("faltando"))
+    return an.verdicts(o.drop("o_orderstatus"), graded)
+
+
 @query("x13_lint_queries", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'não começa com SELECT' WHEN o_orderkey % 11 = 0 THEN 'mais de um comando' WHEN o_orderkey % 13 = 0 THEN 'usa "drop"'
   WHEN o_orderkey % 200 > 100 THEN 'sem LIMIT de até 100' WHEN o_orderkey % 17 = 0 THEN 'AVG sobre medida' END AS problema FROM orders""", views=False)
