@@ -119,7 +119,7 @@ SELECT text_id, 'conversion', url, '1970-01-01T00:00:00Z', 'text/plain; charset=
 
 
 def quality(rules, boilerplate: str) -> str:
-    end, mark = r"""[.!?…。！？]["”»''’)\]]*\z""", r"\A[|»›•·>/]+\z"
+    end, mark, stray = r"""[.!?…。！？]["”»''’)\]]*\z""", r"\A[|»›•·>/]+\z", r"[#*$%&<>]\z"
     return rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,
@@ -129,9 +129,10 @@ p AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
 r AS (SELECT doc_id, count(DISTINCT i + x) AS n FROM p, (SELECT unnest(range(5)) AS x) GROUP BY doc_id),
 x AS (SELECT doc_id, l, {_WORDS.format("l")} AS w FROM (SELECT doc_id, unnest(l) AS l FROM d)),
 y AS (
-  SELECT doc_id, l, len(w) AS n, len(list_filter(w, lambda v: regexp_matches(v, '{mark}'))) AS marks, len(list_filter(w, lambda v: regexp_matches(v, '{end}'))) AS ends FROM x),
+  SELECT doc_id, l, len(w) AS n, len(list_filter(w, lambda v: regexp_matches(v, '{mark}'))) AS marks, len(list_filter(w, lambda v: regexp_matches(v, '{end}'))) AS ends,
+    len(list_filter(w, lambda v: regexp_matches(v, '{stray}'))) AS stray FROM x),
 z AS (
-  SELECT doc_id, 1 - coalesce(sum(length(l)) FILTER (NOT (ends = 0 OR n >= 8 AND ends > {rules.end_share} * n OR marks >= {rules.separators} AND marks >= {rules.separator_share} * n
+  SELECT doc_id, 1 - coalesce(sum(length(l)) FILTER (NOT (stray > {rules.stray_share} * n OR ends = 0 OR n >= 8 AND ends > {rules.end_share} * n OR marks >= {rules.separators} AND marks >= {rules.separator_share} * n
     OR n <= {rules.notice_words} AND regexp_matches(lower(l), '{boilerplate}'))), 0) / sum(length(l)) AS lost FROM y GROUP BY doc_id),
 b AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,

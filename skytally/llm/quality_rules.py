@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 _GAP = r"[\x20\x09-\x0D]+"
 _SENTENCE_END = r"[.!?…。！？][\"”»'’)\]]*\z"
 _NAVIGATION = r"\A[|»›•·>/]+\z"
+_STRAY = r"[#*$%&<>]\z"
 #: Phrases of notices and controls that are no part of a page's prose.
 _BOILERPLATE = (
     r"all rights reserved|terms of (use|service)|privacy policy|cookie policy|use of cookies|accept cookies|enable javascript|"
@@ -20,12 +21,13 @@ _BOILERPLATE = (
 class Rules(NamedTuple):
     """A line fails with ``separators`` or more navigation marks that are at least ``separator_share`` of its words;
     with boilerplate in at most ``notice_words`` words; with no end of a sentence, or with more than ``end_share`` of
-    its words (8 or more) ending one. A document is rejected when more than ``lost`` of its characters go."""
+    its words (8 or more) ending one; with more than ``stray_share`` of its words ending in a stray symbol. A document is rejected when more than ``lost`` of its characters go."""
 
     separators: int = 2
     separator_share: float = 0.2
     notice_words: int = 40
     end_share: float = 0.5
+    stray_share: float = 0.2
     lost: float = 0.3
     min_words: int = 10
     repeat_percent: int = 20
@@ -35,8 +37,10 @@ def line_fails(line: Column, words: Column, rules: Rules) -> Column:
     n = F.size(words)
     marks = F.size(F.filter(words, lambda w: w.rlike(_NAVIGATION)))
     ends = F.size(F.filter(words, lambda w: w.rlike(_SENTENCE_END)))
+    stray = F.size(F.filter(words, lambda w: w.rlike(_STRAY)))
     return (
-        ((ends == 0) | ((n >= 8) & (ends > rules.end_share * n)))
+        (stray > rules.stray_share * n)
+        | ((ends == 0) | ((n >= 8) & (ends > rules.end_share * n)))
         | ((marks >= rules.separators) & (marks >= rules.separator_share * n))
         | ((n <= rules.notice_words) & F.lower(line).rlike(_BOILERPLATE))
     )

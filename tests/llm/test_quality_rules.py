@@ -50,7 +50,7 @@ PROSE = "This is a line of plain prose that ends well."
     "line,stays",
     [
         (PROSE, True), ("He said “yes.”", True), ("No end of a sentence here", False), ("Two sentences. The second is cut", True), ("Home | News | About | Contact.", False),
-        ("All rights reserved. Copyright 2020.", False), ("Buy! now! or! never! get! it! all! here!", False), ("Dr. No.", True), ("a / b.", True), ("你好。", True),
+        ("All rights reserved. Copyright 2020.", False), ("Buy! now! or! never! get! it! all! here!", False), ("Dr. No.", True), ("It rose 5% in a year.", True), ("The*** end$$$ of%%% all&&& good### things.", False), ("a / b.", True), ("你好。", True),
     ],
 )
 def test_lines(docs, line, stays):
