@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import stored
 
 _ROW_BITS = (1 << 33) - 1
 _MAX_LONG = (1 << 63) - 1
@@ -49,47 +51,26 @@ def surrogate_key(
 ) -> DataFrame:
     """Dense key 1..n in the order of ``order`` without a global window.
 
-    Rows are range-partitioned and sorted; partition and position are frozen by a reliable
-    checkpoint, partition sizes become offsets. Give an ``order`` that is unique per row (a tie is
-    broken by the remaining columns), so that no single range holds a hot value.
+    Rows are range-partitioned, sorted and written once with partition and position; partition sizes become
+    offsets. One way for every size: a small table ends up in one file, a fact in many. Give an ``order`` that is
+    unique per row (a tie is broken by the remaining columns), so that no single range holds a hot value. Joins to
+    the result may be broadcast by the size of its files; there is no hint.
     """
     tail = [c for c in df.columns if c not in order]
     by = [F.desc_nulls_last(c) if descending else F.asc_nulls_first(c) for c in order]
     by += [F.asc_nulls_first(c) for c in tail]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(n, *by)
-        .sortWithinPartitions(*by)
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    placed = stored(
+        ranged.sortWithinPartitions(*by)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
+        .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))),
+        "numerada",
     )
-    placed = checkpointed(placed)
-    # At most one row per partition: bounded by n, whatever the data size.
-    sizes = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = placed.join(F.broadcast(offsets), "_pid")
-    return numbered.select((F.col("_off") + F.col("_pos") + start).cast("long").alias(name), *df.columns)
-
-
-# A dimension counted below this many rows is a few tens of megabytes: safe to send to every task.
-BROADCAST_ROWS = 100_000
-
-
-def small_surrogate_key(df: DataFrame, name: str, order: Sequence[str], limit: int = 1_000_000, start: int = 1) -> DataFrame:
-    """Dense key for a dimension; a frame proven to fit ``limit`` rows uses one ordered window.
-
-    The rows are fixed by a checkpoint first: they are computed once, and every join that uses the
-    dimension sees the same keys. The count also decides whether later joins may broadcast it.
-    """
-    fixed = checkpointed(df)
-    rows = fixed.count()
-    if rows > limit:
-        return surrogate_key(fixed, name, order, start)
-    tail = [c for c in df.columns if c not in order]
-    w = Window.orderBy(*[F.asc_nulls_first(c) for c in [*order, *tail]])
-    keyed = fixed.select((F.row_number().over(w) + (start - 1)).cast("long").alias(name), *df.columns)
-    return F.broadcast(keyed) if rows <= BROADCAST_ROWS else keyed
+    # One number per partition comes back, whatever the data size.
+    sizes = {r["_pid"]: r["count"] for r in placed.groupBy("_pid").count().collect()}
+    offsets = list(itertools.accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0))), initial=start))
+    at = F.from_json(F.lit(json.dumps(offsets)), "array<bigint>")
+    return placed.select((F.get(at, F.col("_pid")) + F.col("_pos")).alias(name), *df.columns)
 
 
 def unique_label(df: DataFrame, label: str, code: str, name: str) -> DataFrame:

@@ -14,8 +14,8 @@ from ..functions.geo import distance_band, haversine_km
 from ..functions.typing import percent
 from ..operators.aggregates import count_if, mean_where
 from ..operators.joins import lookup, lookup_keys, prefix_dim
-from ..operators.windows import dedupe_best, latest_first, present_first, small_surrogate_key, surrogate_key
-from ..session import checkpointed
+from ..operators.windows import dedupe_best, latest_first, present_first, surrogate_key
+from ..session import stored
 from .silver import drop_header_rows
 
 Numbering = Callable[[DataFrame, str, Sequence[str]], DataFrame]
@@ -30,8 +30,8 @@ def build_dim_tempo(flights: DataFrame, date: str = "partida_prevista_data") ->
 
 
 def fixed_calendar(flights: DataFrame) -> DataFrame:
-    """The calendar computed once for all its roles. One row per day: small for any number of flights."""
-    return F.broadcast(checkpointed(build_dim_tempo(flights)))
+    """The calendar computed once for all its roles; its size on disk decides how it is joined."""
+    return stored(build_dim_tempo(flights), "calendario")
 
 
 def best_companies(companies: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def best_companies(companies: DataFrame) -> DataFrame:
     return dedupe_best(rows, ["icao"], [present_first("razao_social"), present_first("situacao"), latest_first("transformado_em")])
 
 
-def build_dim_empresa(companies: DataFrame, number: Numbering = small_surrogate_key, keyword_mode: str = "word") -> DataFrame:
+def build_dim_empresa(companies: DataFrame, number: Numbering = surrogate_key, keyword_mode: str = "word") -> DataFrame:
     kept = best_companies(companies).select(
         "icao", "iata", "razao_social", "cnpj", "servico", "cidade", "uf", "situacao", "decisao_operacional",
         "validade_operacional", "origem_cadastro", ty.has_keyword("situacao", "ATIVA", keyword_mode).alias("flag_ativa"),
@@ -48,7 +48,7 @@ def build_dim_empresa(companies: DataFrame, number: Numbering = small_surrogate_
     return number(kept, "sk_empresa", ["icao"])
 
 
-def build_dim_aerodromo(airports: DataFrame, number: Numbering = small_surrogate_key, keyword_mode: str = "word") -> DataFrame:
+def build_dim_aerodromo(airports: DataFrame, number: Numbering = surrogate_key, keyword_mode: str = "word") -> DataFrame:
     rows = airports.filter(F.col("icao").isNotNull() & (F.col("icao") != ""))
     kept = rows.select(
         "icao", "ciad", "nome", "municipio", "uf_nome", "municipio_servido", "uf_servido_nome", "altitude_m",
@@ -62,19 +62,19 @@ def build_dim_aerodromo(airports: DataFrame, number: Numbering = small_surrogate
 
 def flight_codes(flights: DataFrame) -> DataFrame:
     """Code combinations in use, fixed once: the line, status and route dimensions all come from it."""
-    return checkpointed(flights.select("codigo_tipo_linha", "situacao_voo", "icao_origem", "icao_destino").distinct())
+    return stored(flights.select("codigo_tipo_linha", "situacao_voo", "icao_origem", "icao_destino").distinct(), "codigos")
 
 
 def _codes(flights: DataFrame, column: str) -> DataFrame:
     return flights.select(F.col(column).alias("codigo")).filter("codigo IS NOT NULL").distinct()
 
 
-def build_dim_tipo_linha(flights: DataFrame, number: Numbering = small_surrogate_key) -> DataFrame:
+def build_dim_tipo_linha(flights: DataFrame, number: Numbering = surrogate_key) -> DataFrame:
     codes = _codes(flights, "codigo_tipo_linha").withColumn("descricao", ty.describe_code("codigo", lx.LINE_TYPES, "Outro"))
     return number(codes, "sk_tipo_linha", ["codigo"])
 
 
-def build_dim_situacao(flights: DataFrame, number: Numbering = small_surrogate_key) -> DataFrame:
+def build_dim_situacao(flights: DataFrame, number: Numbering = surrogate_key) -> DataFrame:
     codes = _codes(flights, "situacao_voo").withColumns({
         "descricao": ty.describe_code("codigo", lx.STATUS_LABELS, "Outro"),
         "flag_realizado": ty.is_code("codigo", "REALIZADO"),
@@ -96,7 +96,7 @@ def route_distances(flights: DataFrame, airports: DataFrame, latitude: str = "la
     })
 
 
-def build_dim_rota(flights: DataFrame, airports: DataFrame, number: Numbering = small_surrogate_key) -> DataFrame:
+def build_dim_rota(flights: DataFrame, airports: DataFrame, number: Numbering = surrogate_key) -> DataFrame:
     return number(route_distances(flights, airports), "sk_rota", ["icao_origem", "icao_destino"])
 
 

@@ -66,6 +66,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "tabela") -> DataFrame:
+    """The rows written once to the shared folder and read back: fixed, prunable by column, and of a size that the optimizer knows."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows redistributed when the input has fewer partitions than the session has cores.
 

@@ -36,9 +36,10 @@ def test_surrogate_key_does_not_depend_on_partitions(spark, parts):
     assert got == [(n + 1, g, v) for n, (g, v) in enumerate(sorted(data))]
 
 
-def test_small_key_switches_to_ranges(spark):
+def test_surrogate_key_of_few_and_no_rows(spark):
     df = spark.range(50).select((F.lit(50) - F.col("id")).alias("x"))
-    assert rows(wn.small_surrogate_key(df, "sk", ["x"])) == rows(wn.small_surrogate_key(df, "sk", ["x"], limit=10))
+    assert rows(wn.surrogate_key(df, "sk", ["x"], start=5)) == [(n + 5, n + 1) for n in range(50)]
+    assert rows(wn.surrogate_key(df.limit(0), "sk", ["x"])) == []
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 1000])
