@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import tempfile
 import uuid
 
@@ -17,11 +19,20 @@ RUNTIME_CONF = {
 }
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver has it, whatever their working folder."""
+    env, root = spark.sparkContext.environment, str(pathlib.Path(__file__).resolve().parents[1])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the SQL options the operators rely on; partition counts stay with the deployment."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    return spark
+    return importable(spark)
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
