@@ -1,10 +1,24 @@
-"""Tables whose further columns ride along under names that clash with nothing."""
+"""Tables on their way to Python workers: bounded batches, and further columns under names that clash with nothing."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import importable
+
+
+#: Rows and bytes of a batch that goes to a Python worker: its memory must not follow the length of texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The same table; its session now sends small batches to Python workers."""
+    conf = importable(df.sparkSession).conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
 
 def _others(docs: DataFrame, made: tuple[str, ...]) -> dict[str, str]:
     return {c: f"_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", *made)}

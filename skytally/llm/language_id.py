@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -13,6 +15,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import bounded
+
 WORD = regex.compile(r"\p{L}+")
 UNDETERMINED = "und"
 #: Lengths of the n-grams, longest first; a word has a mark before and after it.
@@ -36,26 +40,45 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)] if n > 1 else list(word)
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_COUNTED = "lang string, kind int, feature string, c long"
+
+
+def _rows(found: dict[tuple[str, int], Counter]) -> pa.RecordBatch:
+    rows = [(lang, n, f, c) for (lang, n), seen in found.items() for f, c in seen.items()]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, kinds)], ["lang", "kind", "feature", "c"])
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of a batch, as kind 0."""
     for batch in batches:
         found: dict[tuple[str, int], Counter] = defaultdict(Counter)
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            found[lang, 0].update(WORD.findall((text.as_py() or "").lower()))
-        for (lang, _), seen in list(found.items()):
+            found[lang, 0].update(WORD.findall(text.as_py().lower()))
+        yield _rows(found)
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n-grams of counted words, as kind n."""
+    for batch in batches:
+        found: dict[tuple[str, int], Counter] = defaultdict(Counter)
+        for lang, word, c in zip(*(batch.column(x).to_pylist() for x in ("lang", "feature", "c"))):
             for n in GRAMS:
-                for word, c in seen.items():
-                    for g in grams(word, n):
-                        found[lang, n][g] += c
-        rows = [(lang, n, f, c) for (lang, n), seen in found.items() for f, c in seen.items()]
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, kinds)], ["lang", "kind", "feature", "c"])
+                for g in grams(word, n):
+                    found[lang, n][g] += c
+        yield _rows(found)
 
 
 class Model(NamedTuple):
-    """Languages in order; tables[k]: log frequencies, one per language, of words (k = 0) or k-grams."""
+    """Languages in order; ``scores``: a row of log frequencies, one per language, for each entry of the tables.
+
+    tables[0] has the words, tables[n] the n-grams. ``token`` tells models apart.
+    """
 
     languages: list[str]
-    tables: dict[int, dict[str, np.ndarray]]
+    tables: dict[int, dict[str, int]]
+    scores: np.ndarray
+    token: str
 
 
 def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
@@ -65,14 +88,16 @@ def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
     ``words`` and ``grams`` of each language are kept, so the model is bounded whatever the input. With more than
     ``languages`` labels the rarer ones are left out. No labelled row: a model that knows no language.
     """
+    bounded(labelled)
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(limits.languages).collect()
     if not sizes:
-        return Model([], {})
+        return _model([])
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, limits.sample / r["count"]))))[F.col("lang")]
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    counted = rows.where(draw < share).mapInArrow(_counts, "lang string, kind int, feature string, c long")
-    counted = counted.groupBy("lang", "kind", "feature").agg(F.sum("c").alias("c"))
+    total = lambda df: df.groupBy("lang", "kind", "feature").agg(F.sum("c").alias("c"))
+    counted = total(rows.where(draw < share).mapInArrow(_words, _COUNTED))
+    counted = counted.unionAll(total(counted.mapInArrow(_grams, _COUNTED)))
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("c"), "feature")
     keep = F.when(F.col("kind") == 0, limits.words).otherwise(limits.grams)
     best = counted.withColumn("r", F.row_number().over(top)).where(F.col("r") <= max(limits.words, limits.grams)).where(F.col("r") <= keep)
@@ -82,53 +107,74 @@ def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
 def _model(rows: list[tuple[str, int, str, int]]) -> Model:
     languages = sorted({r[0] for r in rows})
     at = {x: i for i, x in enumerate(languages)}
-    tables: dict[int, dict[str, np.ndarray]] = {k: {} for k in (0, *GRAMS)}
+    tables: dict[int, dict[str, int]] = {k: {} for k in (0, *GRAMS)}
+    for _, kind, feature, _ in sorted(rows):
+        tables[kind].setdefault(feature, sum(map(len, tables.values())))
+    scores = np.zeros((sum(map(len, tables.values())), len(languages)))
     for lang, kind, feature, c in rows:
-        tables[kind].setdefault(feature, np.zeros(len(languages)))[at[lang]] = c
+        scores[tables[kind][feature], at[lang]] = c
     for table in tables.values():
-        total = sum(table.values(), np.zeros(len(languages)))
-        for f in table:
-            table[f] = np.log((table[f] + 0.5) / (total + 0.5 * len(table)))
-    return Model(languages, tables)
+        own = np.fromiter(table.values(), np.int64, len(table))
+        scores[own] = np.log((scores[own] + 0.5) / (scores[own].sum(axis=0) + 0.5 * len(table)))
+    return Model(languages, tables, scores, hashlib.md5(repr(sorted(rows)).encode()).hexdigest())
 
 
-class Scorer(dict):
-    """Row of each word in ``rows``; words are scored once, while there is room to remember them."""
+class Scorer:
+    """Scores batches of texts; unseen words are scored once and remembered while there is room."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.k = model, len(model.languages)
-        self.rows = np.zeros((_REMEMBERED + 1, max(1, self.k)))
-        self.rest = np.zeros(self.k)
-
-    def word(self, word: str) -> np.ndarray:
-        if (known := self.model.tables[0].get(word)) is not None:
-            return known
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index, self.rows = dict(self.model.tables[0]), self.model.scores
+
+    def _parts(self, word: str) -> list[int]:
+        """Entries of the longest n-grams of an unseen word that the model has."""
         for n in GRAMS:
-            table = self.model.tables[n]
-            if found := [x for x in map(table.get, grams(word, n)) if x is not None]:
-                return sum(found) / len(found)
-        return np.zeros(self.k)
-
-    def __missing__(self, word: str) -> int:
-        score = self.word(word)
-        if len(self) < _REMEMBERED and len(word) < 64:
-            row = self[word] = len(self) + 1
-            self.rows[row] = score
-            return row
-        self.rest = self.rest + score
-        return 0
-
-    def text(self, text: str | None) -> tuple[str, float]:
-        """(language, its share of the evidence between 0 and 1)."""
-        found = WORD.findall((text or "").lower())
-        if not found or not self.k:
-            return UNDETERMINED, 0.0
-        self.rest = np.zeros(self.k)
-        total = self.rows[np.fromiter(map(self.__getitem__, found), np.int64, len(found))].sum(axis=0) + self.rest
-        total *= min(len(found), EVIDENCE) / len(found)
-        best = int(total.argmax())
-        return self.model.languages[best], min(1.0, 1 / float(np.exp(total - total[best]).sum()))
+            get = self.model.tables[n].get
+            if found := [i for g in grams(word, n) if (i := get(g)) is not None]:
+                return found
+        return []
+
+    def _learn(self, unseen: list[str]) -> None:
+        parts = [self._parts(w) for w in unseen]
+        n = np.array([len(p) for p in parts])
+        new = np.zeros((len(unseen), len(self.model.languages)))
+        if n.any():
+            flat = self.model.scores[np.fromiter(chain.from_iterable(parts), np.int64, int(n.sum()))]
+            new[n > 0] = np.add.reduceat(flat, (np.cumsum(n) - n)[n > 0]) / n[n > 0, None]
+        self.index.update(zip(unseen, range(len(self.rows), len(self.rows) + len(unseen))))
+        self.rows = np.concatenate([self.rows, new])
+
+    def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, its share of the evidence between 0 and 1) of each text."""
+        found = [WORD.findall((t or "").lower()) for t in texts]
+        n = np.array([len(f) for f in found])
+        if not self.model.languages or not n.any():
+            return [(UNDETERMINED, 0.0)] * len(found)
+        words = list(chain.from_iterable(found))
+        if unseen := sorted(set(words) - self.index.keys()):
+            self._learn(unseen)
+        rows = self.rows[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
+        total = np.add.reduceat(rows, (np.cumsum(n) - n)[n > 0]) * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[n > 0, None]
+        best = total.argmax(axis=1)
+        share = np.minimum(1.0, 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1))
+        if len(self.index) > len(self.model.tables[0]) + _REMEMBERED:
+            self._forget()
+        known = iter(zip(best.tolist(), share.tolist()))
+        return [(UNDETERMINED, 0.0) if not f else (self.model.languages[i], s) for f in found for i, s in ([next(known)] if f else [(0, 0.0)])]
+
+
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The worker's scorer of this model; another model's is let go."""
+    if model.token not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.token] = Scorer(model)
+    return _SCORERS[model.token]
 
 
 def language(text: Column, df: DataFrame, model: Model) -> Column:
@@ -139,16 +185,12 @@ def language(text: Column, df: DataFrame, model: Model) -> Column:
     tie goes to the language that sorts first. Every row is scored by its whole text alone, so repeated rows
     agree and an empty table gives an empty result.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    held: list[Scorer] = []
+    sent = bounded(df).sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
     def scored(texts: pd.Series) -> pd.DataFrame:
-        if not held:
-            held.append(Scorer(sent.value))
-        return pd.DataFrame([held[0].text(t) for t in texts], columns=["lang", "score"])
+        return pd.DataFrame(_scorer(sent.value).texts(texts.tolist()), columns=["lang", "score"])
 
-    return scored(text)
+    return F.pandas_udf(scored, "lang string, score double")(text)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,11 +1,13 @@
 """Language identification: held-out accuracy and defined results for odd input."""
 
+import math
+import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from skytally.llm.language_id import Limits, Model, Scorer, _model, grams, identify, train
+from skytally.llm.language_id import EVIDENCE, GRAMS, Limits, Scorer, _model, grams, identify, train
 from skytally.llm.queries import QUERIES
 
 ROWS = [(i, *p) for i, p in enumerate([("the house and the tree", "en"), ("das haus und der baum", "de"), ("la maison et les arbres", "fr")] * 12)]
@@ -46,9 +48,31 @@ def test_model_is_bounded(spark):
 def test_backs_off_to_shorter_grams():
     model = _model([("a", 0, "known", 9), ("b", 0, "other", 9), ("a", 3, "ing", 5), ("b", 3, "xyz", 5), ("b", 1, "q", 5), ("a", 1, "z", 1)])
     score = Scorer(model)
-    assert score.text("known")[0] == "a" and score.text("running")[0] == "a" and score.text("qqqq")[0] == "b"
-    assert score.text("ééé") == ("a", 0.5)  # nothing known: a tie
-    assert grams("ab", 3) == ["_ab", "ab_"] and grams("ab", 1) == ["a", "b"] and Scorer(Model([], {})).text("a") == ("und", 0.0)
+    assert [x[0] for x in score.texts(["known", "running", None, "qqqq", "12"])] == ["a", "a", "und", "b", "und"]
+    assert score.texts(["ééé"]) == [("a", 0.5)]  # nothing known: a tie
+    assert grams("ab", 3) == ["_ab", "ab_"] and grams("ab", 1) == ["a", "b"] and Scorer(_model([])).texts(["a", None]) == [("und", 0.0)] * 2
+
+
+def test_batches_and_memory_do_not_change_scores(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 7))) for _ in range(300)]
+    model = _model([(lang, k, g, rng.randint(1, 9)) for lang in "xyz" for k in (0, 1, 2, 3) for g in {w[:k] if k else w for w in rng.sample(words, 60)}])
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(60)]
+    whole = Scorer(model).texts(texts)
+
+    def plain(text):
+        """One word at a time, straight from the definition."""
+        total, found = [0.0] * 3, text.split()
+        for w in found:
+            rows = [model.tables[0][w]] if w in model.tables[0] else next((r for n in GRAMS if (r := [model.tables[n][g] for g in grams(w, n) if g in model.tables[n]])), [])
+            total = [t + (sum(model.scores[i][k] for i in rows) / len(rows) if rows else 0) for k, t in enumerate(total)]
+        total = [t * min(len(found), EVIDENCE) / max(1, len(found)) for t in total]
+        return sum(math.exp(t - max(total)) for t in total)
+
+    assert all(s == pytest.approx(1 / plain(t)) for t, (lang, s) in zip(texts, whole) if lang != "und")
+    monkeypatch.setattr("skytally.llm.language_id._REMEMBERED", 5)
+    few = Scorer(model)
+    assert [r for t in texts for r in few.texts([t])] == [(lang, pytest.approx(s)) for lang, s in whole]
 
 
 def test_held_out_accuracy(spark):
