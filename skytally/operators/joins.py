@@ -19,6 +19,14 @@ def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("repeticoes")).filter("repeticoes > 1")
 
 
+def unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The dimension itself, refused with some of its repeated keys if it has any. Give a stored one: it is read for this."""
+    repeated = [tuple(r)[:-1] for r in duplicate_keys(dim, keys).orderBy(*keys).limit(5).collect()]
+    if repeated:
+        raise ValueError(f"repeated keys {', '.join(keys)}: {repeated}")
+    return dim
+
+
 def prefix_dim(dim: DataFrame, prefix: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The same dimension in a role: every column renamed ``prefix_column``."""
     return dim.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns or dim.columns])

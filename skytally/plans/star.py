@@ -13,7 +13,7 @@ from ..functions.calendar import calendar_attributes, day_period
 from ..functions.geo import distance_band, haversine_km
 from ..functions.typing import percent
 from ..operators.aggregates import count_if, mean_where
-from ..operators.joins import lookup, lookup_keys, prefix_dim
+from ..operators.joins import lookup, lookup_keys, prefix_dim, unique
 from ..operators.windows import dedupe_best, latest_first, present_first, surrogate_key
 from ..session import stored
 from .silver import drop_header_rows
@@ -57,7 +57,7 @@ def build_dim_aerodromo(airports: DataFrame, number: Numbering = surrogate_key,
         ty.keyword_status("situacao", lx.AIRPORT_STATUS, "outro", keyword_mode).alias("status_operacional"),
         ty.all_present("latgeopoint", "longeopoint").alias("tem_coordenadas"),
     )
-    return number(kept, "sk_aerodromo", ["icao"])
+    return unique(number(kept, "sk_aerodromo", ["icao"]), ["icao"])
 
 
 def flight_codes(flights: DataFrame) -> DataFrame:

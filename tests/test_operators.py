@@ -118,6 +118,13 @@ def test_lookup_keeps_rows_and_finds_duplicates(spark):
     assert jn.duplicate_keys(dim.unionAll(dim), ["icao"]).count() == 1
 
 
+def test_repeated_airport_codes_are_refused(spark):
+    df = spark.createDataFrame([("SBSP", 1), ("SBSP", 2), ("SBRJ", 3)], "icao string, v int")
+    with pytest.raises(ValueError, match="SBSP"):
+        jn.unique(df, ["icao"])
+    assert jn.unique(df.where("v > 1"), ["icao"]).count() == 2
+
+
 def test_set_diff_and_assert(spark):
     a, b = spark.createDataFrame([("x",), (None,)], "c string"), spark.createDataFrame([(None,), ("y",)], "c string")
     assert rows(jn.set_diff(a, b, ["c"])) == [("x", "so_esquerda"), ("y", "so_direita")]
