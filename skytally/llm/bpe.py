@@ -14,12 +14,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import bounded
+
 #: Characters of a leaf: a longer text is encoded as two halves.
 LEAF = 8192
 #: Characters from which the parts of one text go to several tasks, and characters of such a part.
 SPREAD, PART = 1 << 20, 1 << 18
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 # How the vocabulary file writes bytes as characters, and how byte-level BPE cuts text.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -210,7 +212,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, spread: int = SPREAD, p
     """
     file = vocabulary(docs, path)
     special = [t["content"] for t in json.loads(file.value)["added_tokens"]]
-    rows = docs.select("doc_id", "text")
+    rows = bounded(docs).select("doc_id", "text")
     far = F.length("text") > spread
     for s in special:
         far &= ~F.contains("text", F.lit(s))
@@ -240,4 +242,4 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
             text = [None if x is None else bpe.decode(x) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], ["doc_id", "ids", "text"])
 
-    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return bounded(coded).select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")

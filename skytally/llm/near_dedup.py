@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_folder
 from . import words
+from .frames import bounded
 from .graph import components
 
 BITS = 2
@@ -187,7 +188,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     not read.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("same"))
+    docs = bounded(docs).select("doc_id", "text", F.xxhash64("text").alias("same"))
     path = new_folder(spark, "signatures")
     docs.mapInArrow(_signed(shingle, bands), "doc_id long, same long, n long, k1 long, k2 long, bands array<long>, sig binary").write.parquet(path)
     signed = spark.read.parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
+from .frames import bounded
 
 #: Documents whose short pieces are packed together; each shard leaves one half-empty sequence or so.
 SHARD = 50_000
@@ -92,7 +93,7 @@ def token_pieces(docs: DataFrame, path: str, size: int = 1024, end: int = 2) ->
                 out += [(doc, k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(ids) // 4, size))]
             yield _rows(out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _PIECE)
+    return bounded(docs).select("doc_id", "text").mapInArrow(run, _PIECE)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
