@@ -23,7 +23,7 @@ UNDETERMINED = "und"
 GRAMS = (5, 4, 3, 2, 1)
 #: Words that weigh in a score: a longer text is scored as so many average words.
 EVIDENCE = 20
-_REMEMBERED = 200_000
+_REMEMBERED = 100_000
 
 
 class Limits(NamedTuple):
@@ -190,7 +190,8 @@ def language(text: Column, df: DataFrame, model: Model) -> Column:
     def scored(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(_scorer(sent.value).texts(texts.tolist()), columns=["lang", "score"])
 
-    return F.pandas_udf(scored, "lang string, score double")(text)
+    # Not deterministic to the optimizer: else it runs once more in every filter that reads its result.
+    return F.pandas_udf(scored, "lang string, score double").asNondeterministic()(text)
 
 
 def held_out(doc_id: Column) -> Column:

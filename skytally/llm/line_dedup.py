@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import keyed, restored
+from .frames import bounded, keyed, restored
 
 
 def later_windows(docs: DataFrame, window: int = 3) -> DataFrame:
@@ -45,7 +45,8 @@ def _without(window: int):
             out.append((text if at is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
 
-    return cut
+    # Not deterministic to the optimizer: else it runs once more in every filter that reads its result.
+    return cut.asNondeterministic()
 
 
 def dedup_lines(docs: DataFrame, window: int = 3) -> DataFrame:
@@ -57,7 +58,7 @@ def dedup_lines(docs: DataFrame, window: int = 3) -> DataFrame:
     row without doc_id is compared with none. Rows that share doc_id and text are treated alike. Columns of ``docs``
     named n_lines and n_removed are replaced. An empty table gives an empty result.
     """
-    table = keyed(docs, ("n_lines", "n_removed"))
+    table = keyed(bounded(docs), ("n_lines", "n_removed"))
     starts = later_windows(table, window).groupBy("doc_id", "same").agg(F.collect_set("at").alias("starts"))
     cut = table.join(starts, ["doc_id", "same"], "left").withColumn("cut", _without(window)("text", "starts"))
     return restored(cut, docs, F.col("cut.text"), {"n_lines": F.col("cut.n_lines"), "n_removed": F.col("cut.n_removed")})

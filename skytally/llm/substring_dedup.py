@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .frames import keyed, restored
+from .frames import bounded, keyed, restored
 
 #: Words of the k-gram whose hash is the minimiser.
 GRAM = 8
@@ -142,7 +142,7 @@ def covered_ranges(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: int
     text are told apart. Each text is cut into super-k-mers. A bucket (minimiser) met in one doc_id alone holds
     no window shared by two, so its strings stay where they are; the others travel, packed.
     """
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("same"))
+    docs = bounded(docs).select("doc_id", "text", F.xxhash64("text").alias("same"))
     runs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_segments(window, gram), "bucket long, doc_id long, same long, first int, n int")
     shared = runs.groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("c")).where("lo < hi")
     shared = shared.select("bucket", F.expr(f"1 + cast(floor(c / {hot}) AS long)").alias("parts"))
@@ -216,5 +216,7 @@ def remove_passages(docs: DataFrame, window: int = 50, gram: int = GRAM, hot: in
     """
     table = keyed(docs, ("n_removed",))
     _, ranges = covered_ranges(docs, window, gram, hot)
-    cut = table.join(ranges, ["doc_id", "same"], "left").withColumn("cut", F.pandas_udf(_cut_texts, "text string, n_removed long")("text", "ranges"))
+    # Not deterministic to the optimizer: else it runs once more in every filter that reads its result.
+    cut_texts = F.pandas_udf(_cut_texts, "text string, n_removed long").asNondeterministic()
+    cut = table.join(ranges, ["doc_id", "same"], "left").withColumn("cut", cut_texts("text", "ranges"))
     return restored(cut, docs, F.col("cut.text"), {"n_removed": F.col("cut.n_removed")})
