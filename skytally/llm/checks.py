@@ -84,9 +84,8 @@ def _reference_free(text: str) -> str:
 
 
 def _page_text(html: str) -> str:
-    t = rf"regexp_replace({html}, '(?s)<!--.*?(-->|\z)', '', 'g')"
-    for tag in ("script", "style", "template", "noscript"):
-        t = rf"regexp_replace({t}, '(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)', '', 'g')"
+    hidden = "|".join(rf"{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript"))
+    t = rf"regexp_replace({html}, '(?is)<(?:!--.*?(?:-->|\z)|{hidden})', '', 'g')"
     t = rf"regexp_replace({t}, '[ \t\r\n\f]+', ' ', 'g')"
     blocks = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
     t = rf"regexp_replace({t}, '(?i)</?({blocks})\b[^>]*>', chr(10), 'g')"

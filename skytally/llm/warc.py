@@ -59,11 +59,13 @@ def _unescaped(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "&"), part), "")).otherwise(text)
 
 
+#: Comments and elements without text of their own, to their end or the page's; one pass over the page.
+_HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|" + "|".join(rf"{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript")) + ")"
+
+
 def plain_text(html: Column) -> Column:
     """Text of a page: comments, scripts, styles and tags taken out, blocks on lines of their own."""
-    t = F.regexp_replace(html, r"(?s)<!--.*?(-->|\z)", "")
-    for tag in ("script", "style", "template", "noscript"):
-        t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)", "")
+    t = F.regexp_replace(html, _HIDDEN, "")
     t = F.regexp_replace(t, r"[ \t\r\n\f]+", " ")
     t = F.regexp_replace(t, r"(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", "\n")
     t = F.regexp_replace(t, r"</?[A-Za-z!?][^>]*>", "")
