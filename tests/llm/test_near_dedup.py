@@ -4,9 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from skytally.llm.near_dedup import BANDS_80, BANDS_85, estimates, near_duplicates, pack_bits
+from skytally.llm.near_dedup import BANDS_80, BANDS_85, _minima, estimates, near_duplicates, pack_bits, shingle_sets
 from skytally.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -83,6 +84,15 @@ def test_estimate_is_corrected_for_chance():
     assert estimates(packed[0], packed[:1], 288)[0] == 1
 
 
+def test_link_with_a_low_estimate_is_found(docs):
+    r = random.Random(949)
+    w = [f"w{r.randrange(10**9)}" for _ in range(128)]
+    rows = [(1, " ".join(w[:116])), (2, " ".join(w[:104] + w[116:]))]
+    one, two = (pack_bits(_minima([s], BANDS_80.hashes)) for s in next(shingle_sets(pa.array([t for _, t in rows]), 5)))
+    assert estimates(one[0], two, BANDS_80.hashes)[0] < 0.7
+    assert [r[2] for r in got(near_duplicates(docs(rows), 80, bands=BANDS_80))] == [1, 1]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
