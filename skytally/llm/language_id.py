@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -24,13 +25,17 @@ GRAMS = (5, 4, 3, 2, 1)
 #: Words that weigh in a score: a longer text is scored as so many average words.
 EVIDENCE = 20
 _REMEMBERED = 100_000
+#: Kind of a word of which a model has no part.
+UNKNOWN = max(GRAMS) + 1
+#: Scores of words in languages, and of texts in languages, that are added at once.
+_AT_ONCE = 1 << 20
 
 
 class Limits(NamedTuple):
-    """Bounds of a model: rows sampled of each language, languages, and entries of each table and language."""
+    """Bounds of a model: rows sampled of each language, languages (None: all), and entries of each table and language."""
 
     sample: int = 5_000
-    languages: int = 64
+    languages: int | None = None
     words: int = 20_000
     grams: int = 8_000
 
@@ -69,54 +74,99 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(found)
 
 
+class Scores:
+    """Log frequencies, sparse: an entry counted c times in a language has log(2c + 1) above the ``base`` of its kind.
+
+    ``langs`` and ``above`` of entry i stand from ``starts[i]`` to ``starts[i + 1]``; elsewhere it has the base.
+    """
+
+    def __init__(self, kinds: np.ndarray, starts: np.ndarray, langs: np.ndarray, above: np.ndarray, base: np.ndarray):
+        self.kinds, self.starts, self.langs, self.above, self.base = kinds, starts, langs, above, base
+
+    def __len__(self) -> int:
+        return len(self.kinds)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        """One score for each language."""
+        row = self.base[self.kinds[i]].copy()
+        own = slice(self.starts[i], self.starts[i + 1])
+        row[self.langs[own]] += self.above[own]
+        return row
+
+    def flat(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``langs`` and ``above`` of all these entries, one after the other, and how many each has."""
+        n = self.starts[entries + 1] - self.starts[entries]
+        return np.repeat(self.starts[entries] - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+    def more(self, kinds: np.ndarray, sizes: np.ndarray, langs: np.ndarray, above: np.ndarray) -> Scores:
+        """With further entries behind."""
+        join = np.concatenate
+        return Scores(join([self.kinds, kinds]), join([self.starts, self.starts[-1] + np.cumsum(sizes)]), join([self.langs, langs]), join([self.above, above]), self.base)
+
+
 class Model(NamedTuple):
-    """Languages in order; ``scores``: a row of log frequencies, one per language, for each entry of the tables.
+    """Languages in order; ``scores``: log frequencies in each language for each entry of the tables.
 
     tables[0] has the words, tables[n] the n-grams. ``token`` tells models apart.
     """
 
     languages: list[str]
     tables: dict[int, dict[str, int]]
-    scores: np.ndarray
+    scores: Scores
     token: str
 
 
 def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
     """Model from rows (doc_id, text, lang); rows without lang or text teach nothing.
 
-    About ``sample`` rows of each language are counted, chosen by the hash of their doc_id, and the most frequent
-    ``words`` and ``grams`` of each language are kept, so the model is bounded whatever the input. With more than
-    ``languages`` labels the rarer ones are left out. No labelled row: a model that knows no language.
+    Every label is learned, unless ``languages`` keeps the most frequent ones alone. About ``sample`` rows of each
+    language are counted, chosen by the hash of their doc_id, and the most frequent ``words`` and ``grams`` of each
+    language are kept, so the model is bounded for each language whatever the input; its size follows their number.
+    No labelled row: a model that knows no language.
     """
     bounded(labelled)
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(limits.languages).collect()
-    if not sizes:
-        return _model([])
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, limits.sample / r["count"]))))[F.col("lang")]
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    sizes = rows.groupBy("lang").count()
+    if limits.languages is not None:
+        sizes = sizes.orderBy(F.desc("count"), "lang").limit(limits.languages)
+        rows = rows.where(F.col("lang").isin([r["lang"] for r in sizes.collect()]))
+    # Smaller languages teach with all of their rows, so the plan holds the large ones alone.
+    large = [x for r in sizes.where(F.col("count") > limits.sample).collect() for x in (r["lang"], limits.sample / r["count"])]
+    if large:
+        share = F.coalesce(F.create_map(*map(F.lit, large))[F.col("lang")], F.lit(1.0))
+        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) < share)
     total = lambda df: df.groupBy("lang", "kind", "feature").agg(F.sum("c").alias("c"))
-    counted = total(rows.where(draw < share).mapInArrow(_words, _COUNTED))
+    counted = total(rows.mapInArrow(_words, _COUNTED))
     counted = counted.unionAll(total(counted.mapInArrow(_grams, _COUNTED)))
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("c"), "feature")
     keep = F.when(F.col("kind") == 0, limits.words).otherwise(limits.grams)
     best = counted.withColumn("r", F.row_number().over(top)).where(F.col("r") <= max(limits.words, limits.grams)).where(F.col("r") <= keep)
-    return _model([tuple(r) for r in best.select("lang", "kind", "feature", "c").collect()])
+    batches = best.select("lang", "kind", "feature", "c").toArrow().to_batches()
+    return _model(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
 
 
-def _model(rows: list[tuple[str, int, str, int]]) -> Model:
-    languages = sorted({r[0] for r in rows})
-    at = {x: i for i, x in enumerate(languages)}
+def _model(rows: Iterable[tuple[str, int, str, int]]) -> Model:
+    at: dict[str, int] = {}
     tables: dict[int, dict[str, int]] = {k: {} for k in (0, *GRAMS)}
-    for _, kind, feature, _ in sorted(rows):
-        tables[kind].setdefault(feature, sum(map(len, tables.values())))
-    scores = np.zeros((sum(map(len, tables.values())), len(languages)))
-    for lang, kind, feature, c in rows:
-        scores[tables[kind][feature], at[lang]] = c
-    for table in tables.values():
-        own = np.fromiter(table.values(), np.int64, len(table))
-        scores[own] = np.log((scores[own] + 0.5) / (scores[own].sum(axis=0) + 0.5 * len(table)))
-    return Model(languages, tables, scores, hashlib.md5(repr(sorted(rows)).encode()).hexdigest())
+    kinds, entry, lang, count = array("b"), array("q"), array("q"), array("q")
+    for x, kind, feature, c in rows:
+        i = tables[kind].setdefault(feature, len(kinds))
+        if i == len(kinds):
+            kinds.append(kind)
+        entry.append(i)
+        lang.append(at.setdefault(x, len(at)))
+        count.append(c)
+    languages = sorted(at)
+    rank = np.zeros(len(at), np.int64)
+    rank[[at[x] for x in languages]] = np.arange(len(at))
+    kinds, entry, count = np.array(kinds, np.int64), np.array(entry, np.int64), np.array(count, np.float64)
+    lang = rank[np.array(lang, np.int64)]
+    order = np.lexsort((lang, entry))
+    starts = np.concatenate(([0], np.cumsum(np.bincount(entry, minlength=len(kinds))))).astype(np.int64)
+    seen = np.bincount(kinds[entry] * len(at) + lang, count, (max(GRAMS) + 1) * len(at)).reshape(max(GRAMS) + 1, len(at))
+    sizes = np.array([max(1, len(tables[k])) for k in range(max(GRAMS) + 1)])[:, None]
+    scores = Scores(kinds, starts, lang[order], np.log(2 * count[order] + 1), np.log(0.5 / (seen + 0.5 * sizes)))
+    return Model(languages, tables, scores, uuid.uuid4().hex)
 
 
 class Scorer:
@@ -138,14 +188,43 @@ class Scorer:
         return []
 
     def _learn(self, unseen: list[str]) -> None:
+        """A word's score is the mean of its parts': one base, and for each language what they have above it."""
         parts = [self._parts(w) for w in unseen]
         n = np.array([len(p) for p in parts])
-        new = np.zeros((len(unseen), len(self.model.languages)))
-        if n.any():
-            flat = self.model.scores[np.fromiter(chain.from_iterable(parts), np.int64, int(n.sum()))]
-            new[n > 0] = np.add.reduceat(flat, (np.cumsum(n) - n)[n > 0]) / n[n > 0, None]
+        flat, many = self.model.scores, len(self.model.languages)
+        every = np.fromiter(chain.from_iterable(parts), np.int64, int(n.sum()))
+        at, size = flat.flat(every)
+        word = np.repeat(np.repeat(np.arange(len(unseen)), n), size)
+        keys, same = np.unique(word * many + flat.langs[at], return_inverse=True)
+        above = np.bincount(same, flat.above[at] / n[word], len(keys))
+        kinds = np.full(len(unseen), UNKNOWN)
+        kinds[n > 0] = flat.kinds[every[(np.cumsum(n) - n)[n > 0]]]
         self.index.update(zip(unseen, range(len(self.rows), len(self.rows) + len(unseen))))
-        self.rows = np.concatenate([self.rows, new])
+        self.rows = self.rows.more(kinds, np.bincount(keys // many, minlength=len(unseen)), keys % many, above)
+
+    def _totals(self, words: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
+        """Summed scores of texts of ``n`` words each, some texts at a time: sums over a text do not depend on the others."""
+        rows, many = self.rows, len(self.model.languages)
+        ends = np.cumsum(n)
+        sizes = np.concatenate(([0], np.cumsum(rows.starts[words + 1] - rows.starts[words])))
+        a = 0
+        while a < len(n):
+            first = ends[a] - n[a]
+            fit = int(np.searchsorted(sizes[ends], sizes[first] + _AT_ONCE, "right"))
+            b = max(a + 1, min(fit, a + max(1, _AT_ONCE // many)))
+            own, text = words[first : ends[b - 1]], np.repeat(np.arange(b - a), n[a:b])
+            kinds = np.bincount(text * (UNKNOWN + 1) + rows.kinds[own], minlength=(b - a) * (UNKNOWN + 1)).reshape(b - a, UNKNOWN + 1)
+            total = np.zeros((b - a, many))
+            for k in range(UNKNOWN):
+                total += kinds[:, k, None] * rows.base[k]
+            at = 0
+            while at < len(own):  # more than once for a long text alone
+                stop = max(at + 1, int(np.searchsorted(sizes, sizes[first + at] + _AT_ONCE, "right")) - 1 - first)
+                flat, size = rows.flat(own[at:stop])
+                total += np.bincount(np.repeat(text[at:stop], size) * many + rows.langs[flat], rows.above[flat], total.size).reshape(total.shape)
+                at += len(own[at:stop])
+            yield total
+            a = b
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, its share of the evidence between 0 and 1) of each text."""
@@ -156,14 +235,18 @@ class Scorer:
         words = list(chain.from_iterable(found))
         if unseen := sorted(set(words) - self.index.keys()):
             self._learn(unseen)
-        rows = self.rows[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
-        total = np.add.reduceat(rows, (np.cumsum(n) - n)[n > 0]) * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[n > 0, None]
-        best = total.argmax(axis=1)
-        share = np.minimum(1.0, 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1))
-        if len(self.index) > len(self.model.tables[0]) + _REMEMBERED:
+        n = n[n > 0]
+        known, done = [], 0
+        for total in self._totals(np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)), n):
+            own = n[done : done + len(total)]
+            total *= (np.minimum(own, EVIDENCE) / own)[:, None]
+            share = np.minimum(1.0, 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1))
+            known += zip(total.argmax(axis=1).tolist(), share.tolist())
+            done += len(total)
+        if len(self.index) > len(self.model.tables[0]) + _REMEMBERED or len(self.rows.above) > len(self.model.scores.above) + 8 * _REMEMBERED:
             self._forget()
-        known = iter(zip(best.tolist(), share.tolist()))
-        return [(UNDETERMINED, 0.0) if not f else (self.model.languages[i], s) for f in found for i, s in ([next(known)] if f else [(0, 0.0)])]
+        rest = iter(known)
+        return [(UNDETERMINED, 0.0) if not f else (self.model.languages[i], s) for f in found for i, s in ([next(rest)] if f else [(0, 0.0)])]
 
 
 _SCORERS: dict[str, Scorer] = {}

@@ -45,6 +45,14 @@ def test_model_is_bounded(spark):
     assert len(model.languages) == 3 and len(model.tables[0]) <= 30 and all(len(model.tables[n]) <= 15 for n in (1, 2, 3, 4, 5))
 
 
+def test_every_label_is_learned(spark):
+    teach = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    name = lambda k: "".join("abcdefghijklmnop"[k >> s & 15] for s in (4, 0))
+    rows = [(teach[4 * k + j], f"qu{name(k)} zu{name(k)}x " * 5, f"l{k}") for k in range(100) for j in range(1 if k < 20 else 3)]
+    assert len(train(taught(spark, rows)).languages) == 100
+    assert all(r.lang == r.lang_pred and r.score > 0.5 for r in identify(taught(spark, rows)).join(taught(spark, rows).select("doc_id", "lang"), "doc_id").collect())
+
+
 def test_backs_off_to_shorter_grams():
     model = _model([("a", 0, "known", 9), ("b", 0, "other", 9), ("a", 3, "ing", 5), ("b", 3, "xyz", 5), ("b", 1, "q", 5), ("a", 1, "z", 1)])
     score = Scorer(model)
@@ -75,6 +83,15 @@ def test_batches_and_memory_do_not_change_scores(monkeypatch):
     assert [r for t in texts for r in few.texts([t])] == [(lang, pytest.approx(s)) for lang, s in whole]
 
 
+def test_blocks_do_not_change_scores(monkeypatch):
+    rng = random.Random(4)
+    model = _model([(lang, 0, w, rng.randint(1, 9)) for lang in "vwxyz" for w in rng.sample("abcdefghijklmnop", 9)] + [("v", 2, "_q", 3), ("w", 2, "q_", 1), ("w", 1, "q", 1)])
+    texts = [" ".join(rng.choices("abcdefghijklmnopq", k=rng.randint(0, 50))) for _ in range(40)]
+    whole = Scorer(model).texts(texts)
+    monkeypatch.setattr("skytally.llm.language_id._AT_ONCE", 7)
+    assert Scorer(model).texts(texts) == [(lang, pytest.approx(s)) for lang, s in whole]
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.001"
     got = QUERIES["op8_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
