@@ -8,19 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _GAP = r"[\x20\x09-\x0D]+"
-_SENTENCE_END = r"[.!?…。！？][\"”»'’)\]]*\z"
+#: Characters with the Unicode property Sentence_Terminal, of all scripts, and the ellipsis.
+_ENDS = (
+    r".!?…"
+    r"\x{589}\x{61D}-\x{61F}\x{6D4}\x{700}-\x{702}\x{7F9}\x{837}\x{839}\x{83D}\x{83E}\x{964}\x{965}\x{104A}\x{104B}\x{1362}\x{1367}"
+    r"\x{1368}\x{166E}\x{1735}\x{1736}\x{17D4}\x{17D5}\x{1803}\x{1809}\x{1944}\x{1945}\x{1AA8}-\x{1AAB}\x{1B4E}\x{1B4F}\x{1B5A}\x{1B5B}"
+    r"\x{1B5E}\x{1B5F}\x{1B7D}-\x{1B7F}\x{1C3B}\x{1C3C}\x{1C7E}\x{1C7F}\x{2024}\x{203C}\x{203D}\x{2047}-\x{2049}\x{2CF9}-\x{2CFB}"
+    r"\x{2E2E}\x{2E3C}\x{2E53}\x{2E54}\x{2E60}\x{2E61}\x{3002}\x{A4FF}\x{A60E}\x{A60F}\x{A6F3}\x{A6F7}\x{A876}\x{A877}\x{A8CE}\x{A8CF}"
+    r"\x{A92F}\x{A9C8}\x{A9C9}\x{AA5D}-\x{AA5F}\x{AAF0}\x{AAF1}\x{ABEB}\x{FE12}\x{FE15}\x{FE16}\x{FE52}\x{FE56}\x{FE57}\x{FF01}\x{FF0E}"
+    r"\x{FF1F}\x{FF61}\x{10A56}\x{10A57}\x{10F55}-\x{10F59}\x{10F86}-\x{10F89}\x{11047}\x{11048}\x{110BE}-\x{110C1}\x{11141}-\x{11143}"
+    r"\x{111C5}\x{111C6}\x{111CD}\x{111DE}\x{111DF}\x{11238}\x{11239}\x{1123B}\x{1123C}\x{112A9}\x{113D4}\x{113D5}\x{1144B}\x{1144C}"
+    r"\x{115C2}\x{115C3}\x{115C9}-\x{115D7}\x{11641}\x{11642}\x{1173C}-\x{1173E}\x{11944}\x{11946}\x{11A42}\x{11A43}\x{11A9B}\x{11A9C}"
+    r"\x{11C41}\x{11C42}\x{11EF7}\x{11EF8}\x{11F43}\x{11F44}\x{16A6E}\x{16A6F}\x{16AF5}\x{16B37}\x{16B38}\x{16B44}\x{16D6E}\x{16D6F}"
+    r"\x{16E98}\x{1BC9F}\x{1DA88}"
+)
+_SENTENCE_END = rf"[{_ENDS}][\"”»'’)\]]*\z"
 _NAVIGATION = r"\A[|»›•·>/]+\z"
 _STRAY = r"[#*$%&<>]\z"
 #: Phrases of notices and controls that are no part of a page's prose.
-_BOILERPLATE = (
+_PHRASES = (
     r"all rights reserved|terms of (use|service)|privacy policy|cookie policy|use of cookies|accept cookies|enable javascript|"
-    r"lorem ipsum|click here|sign (in|up) |log in|subscribe to|share this|read more|back to top|powered by|©|\(c\) [12][0-9]{3}"
+    r"lorem ipsum|click here|sign (in|up) |log in|subscribe to|share this|read more|back to top|powered by"
 )
+_SIGNS = r"©|\(c\) [12][0-9]{3}"
+_BOILERPLATE = f"{_PHRASES}|{_SIGNS}"
+#: As words of their own: "blog in" and "solar-powered by" are no notices.
+_NOTICE = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_]-?)(?:{_PHRASES})(?:(?<=\x20)|s?(?!-?[\p{{L}}\p{{M}}\p{{N}}_]))|{_SIGNS}"
 
 
 class Rules(NamedTuple):
     """A line fails with ``separators`` or more navigation marks that are at least ``separator_share`` of its words;
-    with boilerplate in at most ``notice_words`` words; with no end of a sentence, or with more than ``end_share`` of
+    with boilerplate, as whole words, in at most ``notice_words`` words; with no end of a sentence in any script's marks, or with more than ``end_share`` of
     its words (8 or more) ending one; with more than ``stray_share`` of its words ending in a stray symbol. A document is rejected when more than ``lost`` of its characters go."""
 
     separators: int = 2
@@ -42,7 +60,7 @@ def line_fails(line: Column, words: Column, rules: Rules) -> Column:
         (stray > rules.stray_share * n)
         | ((ends == 0) | ((n >= 8) & (ends > rules.end_share * n)))
         | ((marks >= rules.separators) & (marks >= rules.separator_share * n))
-        | ((n <= rules.notice_words) & F.lower(line).rlike(_BOILERPLATE))
+        | ((n <= rules.notice_words) & F.lower(line).rlike(_NOTICE))
     )
 
 

@@ -58,6 +58,19 @@ def test_lines(docs, line, stays):
     assert row.text == (f"{PROSE}\n{line}" if stays else PROSE)
 
 
+@pytest.mark.parametrize(
+    "line,stays",
+    [
+        ("यह एक साफ वाक्य है।", True), ("هل هذا سطر نظيف؟", True), ("یہ ایک صاف سطر ہے۔", True), ("Սա մաքուր տող է։", True), ("ይህ ንጹህ መስመር ነው።", True), ("នេះជាបន្ទាត់ស្អាត។", True), ("यह एक वाक्य", False),
+        ("It was the blog in question.", True), ("There was widespread more or less.", True), ("We like the design in this house.", True), ("A solar-powered by-pass.", True), ("It is solar-powered by day.", True), ("Most subscribe tonight.", True),
+        ("Please log in.", False), ("Read more.", False), ("Sign in to go on.", False), ("Powered by wind.", False), ("Our terms of services.", False), ("Name© stays here.", False), ("Name(c) 2020.", False), ("(Log in)|Help.", False),
+    ],
+)
+def test_marks_of_all_scripts_and_whole_phrases(docs, line, stays):
+    row = clean_lines(docs([(1, f"{PROSE}\n{line}")])).first()
+    assert row.text == (f"{PROSE}\n{line}" if stays else PROSE)
+
+
 def test_document_that_loses_too_much_goes(docs):
     junk = "\n".join(f"link{i} | more{i} | again{i}" for i in range(20))
     own = "\n".join(" ".join(f"{w}{i}" for w in "these words are all different".split()) + "." for i in range(9))
