@@ -52,3 +52,17 @@ def test_equals_loop(spark, chunk):
 
 def test_empty_table(spark):
     assert rotate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 26, 300])
+def test_rows_are_bounded_without_turn_numbers(spark, most_bytes):
+    rows = [(c, t, ("ann", "bob", "system", None)[i % 4], f"{i * 37 % 100} " + "é" * (i % 50)) for c in (None, 1) for t in (None, 3) for i in range(100)] + [(2, 1, "ann", "x"), (None, 4, "cat", None)]
+    parts = rotate(spark.createDataFrame(rows, SCHEMA).repartition(5), chunk=7, most_bytes=most_bytes).collect()
+    assert max(r.n_turns for r in parts) <= 7 and max(len(r.text.encode()) for r in parts) <= most_bytes + 200
+    assert len({(r.conv_id, r.perspective, r.chunk, r.part) for r in parts}) == len(parts) > 100
+    whole = {}
+    for r in sorted(parts, key=lambda r: r.part):
+        n, trained, text, mask = whole.get((r.conv_id, r.perspective, r.chunk), (0, 0, "", ()))
+        mask += tuple((len(text) + a, len(text) + b) for a, b in r.mask)
+        whole[r.conv_id, r.perspective, r.chunk] = n + r.n_turns, trained + r.n_trained, text + r.text, mask
+    assert sorted(((*k, *v) for k, v in whole.items()), key=str) == brute(rows, 7)
