@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe, chat_format, checks, language_id, line_dedup, near_dedup, packing, quality_rules, substring_dedup, topk_search, warc
+from . import audit_checks, bpe, chat_format, checks, language_id, line_dedup, merkle_manifest, near_dedup, packing, quality_rules, secret_scan, source_audit, substring_dedup, topk_search, warc
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -85,3 +85,18 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules", checks.quality(quality_rules.Rules(), quality_rules._BOILERPLATE))
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(_table(spark, sf_dir, "documents")).drop("lost", "text")
+
+
+@query("op11_secret_scan", audit_checks.secrets())
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
+@query("op12_source_audit", audit_checks.DIVERGENCE)
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(_table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle_manifest", audit_checks.MANIFEST)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(_table(spark, sf_dir, "documents"))
