@@ -117,22 +117,32 @@ SELECT text_id, 'conversion', url, '1970-01-01T00:00:00Z', 'text/plain; charset=
 """
 
 
-def quality(rules, boilerplate: str) -> str:
-    end, mark, stray = r"""[.!?…。！？]["”»''’)\]]*\z""", r"\A[|»›•·>/]+\z", r"[#*$%&<>]\z"
+def quality(rules, q) -> str:
+    """``q``: the module of the rules. RE2 has no look-around, so borders of a phrase are matched as characters."""
+    marks = "".join("-".join(rf"\x{{{c}}}" for c in r.split("-")) for r in q._ENDS.split())
+    end, mark, stray = rf"""[{marks}]["”»''’)\]]*\z""", q._NAVIGATION, q._STRAY
+    inner, outer = r"\p{L}\p{M}\p{N}_", r"(?:{0}|[^\p{L}\p{M}\p{N}_-]|{1})"
+    before = outer.replace("{0}", "^").replace("{1}", f"(?:^|[^{inner}])-")
+    after = outer.replace("{0}", "$").replace("{1}", f"-(?:$|[^{inner}])")
+    spaced, plain = r"sign (?:in|up) ", q._PHRASES.replace("sign (in|up) |", "")
+    notice = f"{before}(?:{spaced}|(?:{plain})s?{after})|{q._SIGNS}"
     return rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,
+  SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w, string_split(coalesce(text, ''), chr(10)) AS a,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
 g AS (SELECT doc_id, i, w[i:i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
 p AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 r AS (SELECT doc_id, count(DISTINCT i + x) AS n FROM p, (SELECT unnest(range(5)) AS x) GROUP BY doc_id),
-x AS (SELECT doc_id, l, {_WORDS.format("l")} AS w FROM (SELECT doc_id, unnest(l) AS l FROM d)),
+x AS (
+  SELECT doc_id, l, below, {_WORDS.format("l")} AS w FROM (SELECT doc_id, a[i] AS l, a[i + 1] AS below FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM d))
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 y AS (
   SELECT doc_id, l, len(w) AS n, len(list_filter(w, lambda v: regexp_matches(v, '{mark}'))) AS marks, len(list_filter(w, lambda v: regexp_matches(v, '{end}'))) AS ends,
-    len(list_filter(w, lambda v: regexp_matches(v, '{stray}'))) AS stray FROM x),
+    len(list_filter(w, lambda v: regexp_matches(v, '{stray}'))) AS stray,
+    len(w) >= {rules.wrap_words} AND coalesce(regexp_matches(below, '{q._GOES_ON}'), false) OR 2 * len(list_filter(w, lambda v: regexp_matches(v, '{q._MARKLESS}'))) > len(w) AS excused FROM x),
 z AS (
-  SELECT doc_id, 1 - coalesce(sum(length(l)) FILTER (NOT (stray > {rules.stray_share} * n OR ends = 0 OR n >= 8 AND ends > {rules.end_share} * n OR marks >= {rules.separators} AND marks >= {rules.separator_share} * n
-    OR n <= {rules.notice_words} AND regexp_matches(lower(l), '{boilerplate}'))), 0) / sum(length(l)) AS lost FROM y GROUP BY doc_id),
+  SELECT doc_id, 1 - coalesce(sum(length(l)) FILTER (NOT (stray > {rules.stray_share} * n OR ends = 0 AND NOT excused OR n >= 8 AND ends > {rules.end_share} * n OR marks >= {rules.separators} AND marks >= {rules.separator_share} * n
+    OR n <= {rules.notice_words} AND regexp_matches(lower(l), '{notice}'))), 0) / sum(length(l)) AS lost FROM y GROUP BY doc_id),
 b AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,

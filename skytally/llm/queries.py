@@ -82,7 +82,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
 
 
-@query("op10_quality_rules", checks.quality(quality_rules.Rules(), quality_rules._BOILERPLATE))
+@query("op10_quality_rules", checks.quality(quality_rules.Rules(), quality_rules))
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(_table(spark, sf_dir, "documents")).drop("lost", "text")
 

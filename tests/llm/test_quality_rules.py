@@ -4,10 +4,13 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from skytally.llm.quality_rules import Rules, clean_lines
+from compare import compare
+from skytally.llm import checks, quality_rules
+from skytally.llm.quality_rules import MARKS, Rules, clean_lines
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,6 +74,43 @@ def test_marks_of_all_scripts_and_whole_phrases(docs, line, stays):
     assert row.text == (f"{PROSE}\n{line}" if stays else PROSE)
 
 
+def test_every_mark_ends_a_sentence(docs):
+    rows = [(i, f"a line that ends{c}{q}") for i, (c, q) in enumerate([(c, q) for c in MARKS for q in ("", "”)")] + [("x", ""), ("x", '"'), (" )", ""), (" ", "”"), (",", "")])]
+    got = {r.doc_id: r.text for r in clean_lines(docs(rows)).collect()}
+    assert len(MARKS) > 150 and [i for i, _ in rows if not got[i]] == [i for i, _ in rows[2 * len(MARKS) :]]
+
+
+@pytest.mark.parametrize(
+    "text,stays",
+    [
+        ("The first line of a wrapped sentence\ngoes on here and ends.", 2),
+        ("The first line of a wrapped sentence\n\ngoes on here and ends.", 1),  # an empty line ends the paragraph
+        ("One two three four five\nSix seven eight nine ten.", 1),  # the next line starts anew
+        ("Home and news\nand more things.", 1),  # too short to be wrapped
+        ("यह एक लंबा वाक्य है जो\nअगली पंक्ति में समाप्त होता है।", 2),
+        ("ภาษาไทย ไม่มี เครื่องหมาย จบ ประโยค", 1),
+        ("One two three four five\n- six seven.", 1),
+    ],
+)
+def test_wrapped_lines_and_scripts_without_marks(docs, text, stays):
+    assert len((clean_lines(docs([(1, text)])).first().text or "").splitlines()) == stays
+
+
+def test_equals_sql_where_marks_and_borders_matter(spark, docs):
+    lines = [f"some words of it{c}" for c in MARKS] + [
+        "Please log in.", "The blog in question.", "Solar-powered by day.", "sign in", "Sign in to go.", "design in here.", "our terms of services.", "terms of serviced.", "x-read more.", "--read more.", "read more-", "read more-x.",
+        "(c) 2020.", "©", "ends “here.”)", "one two three four five", "and goes on", "", "ภาษาไทย ไม่มี เครื่องหมาย", "a | b | c.", "x# y$ z%.", "No! No! No! No! No! No! No! No!", "Cap two three four five",
+    ]
+    r = random.Random(2)
+    rows = some() + [x for x in ODD if x[0] not in (103, 104)] + [(1000 + i, "\n".join(r.choice(lines) for _ in range(r.randint(1, 8)))) for i in range(1500)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = clean_lines(docs([x for x in rows if x[0] is not None])).drop("lost", "text")
+    assert compare(got, con, checks.quality(Rules(), quality_rules).replace("FROM b", "FROM b WHERE doc_id IS NOT NULL")) == ""
+    assert 50 < got.where("kept").count() < 1500
+
+
 def test_document_that_loses_too_much_goes(docs):
     junk = "\n".join(f"link{i} | more{i} | again{i}" for i in range(20))
     own = "\n".join(" ".join(f"{w}{i}" for w in "these words are all different".split()) + "." for i in range(9))
