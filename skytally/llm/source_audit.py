@@ -16,8 +16,8 @@ from .frames import bounded
 #: Bytes of terms to themselves in lower case, all others to a space: a term is a run of ASCII letters and non-ASCII characters.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _RUN = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
-#: Entries of a block in memory (about 200 bytes each), rows of an emitted batch, bytes of a text counted at a time.
-BLOCK_ENTRIES, RUN_ROWS, PIECE_BYTES = 500_000, 20_000, 1 << 20
+#: Entries of a block in memory (about 250 bytes each), rows of an emitted batch, bytes of a text counted at a time.
+BLOCK_ENTRIES, RUN_ROWS, PIECE_BYTES = 1_000_000, 20_000, 1 << 20
 #: Cells of a matrix of pairs held by a task.
 PAIR_CELLS = 1 << 20
 UNIT = 1_000_000_000
@@ -54,19 +54,13 @@ class _Block:
 
     def run(self) -> Iterator[pa.RecordBatch]:
         """The block as a run sorted by language, term and source, in bounded batches; the block is empty afterwards."""
-        rows = sorted((lang, term, source) for (lang, source), (n, _) in self.groups.items() for term in n)
-        for i in range(0, len(rows), RUN_ROWS):
-            part = rows[i : i + RUN_ROWS]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": [r[0] for r in part],
-                    "term": [r[1].decode() for r in part],
-                    "source": [r[2] for r in part],
-                    "n": [self.groups[r[0], r[2]][0][r[1]] for r in part],
-                    "docs": [self.groups[r[0], r[2]][1][r[1]] for r in part],
-                },
-                schema=_RUN,
-            )
+        parts = []
+        for (lang, source), (n, docs) in self.groups.items():
+            same = lambda v: pa.repeat(pa.scalar(v, pa.string()), len(n))  # noqa: B023, E731
+            of = pa.array(list(map(docs.__getitem__, n)), pa.int64())
+            parts.append(pa.Table.from_arrays([same(lang), pa.array(list(n), pa.binary()).cast(pa.string()), same(source), pa.array(list(n.values()), pa.int64()), of], schema=_RUN))
+        if parts:
+            yield from pa.concat_tables(parts).sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches(RUN_ROWS)
         self.__init__()
 
 
