@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_name
+from .quoted import records
 
 PREAMBLE = r"^\W*Atualizado em"
 # A character no file contains: with it as the NULL text, no word in a field is read as NULL.
@@ -58,14 +59,15 @@ def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "U
 
 def read_raw_csv(
     spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, sep: str = ";",
-    encoding: str = "UTF-8", preamble: str = PREAMBLE, audit: bool = True, quote: str = '"', corrupt: str | None = "_corrupt", multiline: bool = False,
+    encoding: str = "UTF-8", preamble: str = PREAMBLE, audit: bool = True, quote: str = '"', corrupt: str | None = "_corrupt", multiline: bool = False, escape: str = "\\",
 ) -> DataFrame:
     """Delimited files as text columns, read in parallel with one scan.
 
     Lines are dropped by content: a preamble is a line of one field that matches ``preamble``, a
     header repeats the column names. So the rule holds in every split of every file, and a file
     with no line after its header adds no row. Empty fields are ``''``, never NULL. A line with too few or
-    too many fields also shows whole in ``corrupt``. ``multiline`` allows quoted line breaks; a file is then one split.
+    too many fields also shows whole in ``corrupt``. ``multiline`` allows quoted line breaks: records are cut in every split
+    of every file (``quoted.records``), for encodings whose quotes and line breaks are single bytes.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if columns is None:
@@ -74,14 +76,16 @@ def read_raw_csv(
             raise ValueError(f"{len(found)} different headers; read_raw_layouts stacks files of several")
         columns = found.pop()
     columns = list(columns)
-    df = (
-        spark.read.schema(_text_schema([*columns, corrupt] if corrupt else columns))
-        .options(sep=sep, encoding=encoding, quote=quote, header="false", nullValue=_NO_NULL, emptyValue="", mode="PERMISSIVE",
-                 enforceSchema="true", multiLine=multiline, **({"columnNameOfCorruptRecord": corrupt} if corrupt else {}))
-        .csv(paths)
-    )
-    if audit:
-        df = with_audit(df)
+    schema = _text_schema([*columns, corrupt] if corrupt else columns)
+    options = {"sep": sep, "quote": quote, "escape": escape, "nullValue": _NO_NULL, "emptyValue": "", "mode": "PERMISSIVE"}
+    options |= {"columnNameOfCorruptRecord": corrupt} if corrupt else {}
+    if multiline:
+        whole = records(spark, paths, sep, quote, encoding, escape)
+        df = whole.select(F.from_csv("text", F.lit(schema.toDDL()), options).alias("_p"), "_file").select("_p.*", "_file")
+        df = with_audit(df, "_file").drop("_file") if audit else df.drop("_file")
+    else:
+        df = spark.read.schema(schema).options(encoding=encoding, header="false", enforceSchema="true", **options).csv(paths)
+        df = with_audit(df) if audit else df
     cols = [F.col(f"`{c}`") for c in columns]
     alone, header = F.lit(True), F.lit(True)
     for i, (name, c) in enumerate(zip(columns, cols)):

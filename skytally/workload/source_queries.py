@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import cube as cb
 from ..plans import silver
-from ..session import new_folder
+from ..session import new_folder, stored
 from ..sources import catalog, export, raw
 from . import tables as t
 from .registry import query
@@ -69,6 +69,28 @@ def s6_preamble(spark, sf):
     return df.groupBy("situacao").agg(F.count(F.lit(1)).alias("registros"), F.sum(F.col("pedido").cast("long")).alias("chaves"))
 
 
+@query("s1_line_breaks_across_splits", """
+SELECT o_orderkey AS pedido, CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus ELSE repeat(o_orderpriority || chr(10) || '; ', CAST(o_orderkey % 7 AS INT)) || '"' || o_orderstatus || '"' END AS nota,
+  o_orderpriority AS prioridade FROM orders""", views=False)
+def s1_splits(spark, sf):
+    """Notes of up to thirteen lines, with separators and doubled quotes in them, in files read in many splits."""
+    o = t.table(spark, sf, "orders")
+    lines = F.call_function("repeat", F.concat("o_orderpriority", F.lit("\n; ")), (F.col("o_orderkey") % 7).cast("int"))
+    note = F.concat(F.lit('"'), lines, F.lit('""'), "o_orderstatus", F.lit('"""'))
+    path = new_folder(spark, "notas")
+    line = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderstatus")).otherwise(note), "o_orderpriority")
+    o.select(line).coalesce(2).write.text(path)
+    split, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = {k: spark.conf.get(k) for k in (split, cost)}
+    try:
+        spark.conf.set(split, str(max(4096, spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] // 12)))
+        spark.conf.set(cost, "0")
+        return stored(raw.read_raw_csv(spark, path, ["pedido", "nota", "prioridade"], audit=False, corrupt=None, multiline=True, escape='"').withColumn("pedido", F.col("pedido").cast("long")), "notas_lidas")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @query("s1_surplus_fields_and_line_breaks", """
 SELECT o_orderkey AS pedido, o_orderpriority || chr(10) || o_orderstatus AS nota,
   CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey || ';"' || o_orderpriority || chr(10) || o_orderstatus || '";A MAIS' END AS linha FROM orders""", views=False)
