@@ -71,6 +71,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, where it lies; none is no fault."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors and fixes partition contents."""
     shared_dir(df.sparkSession)

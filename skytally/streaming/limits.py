@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_text
+from ..operators.breaker import blocking_breaker
 from ..operators.windows import failure_streaks, previous_in_group
-from ..session import new_folder
+from ..session import new_folder, remove_folder
 from .loads import finish
 
 PER_MINUTE = 6
@@ -65,49 +65,61 @@ def first_within_watermark(stream: DataFrame, text: str, ts: str, days: int = RE
     return rows.withWatermark(ts, f"{days} days").dropDuplicatesWithinWatermark(["_norm"]).drop("_norm")
 
 
-def breaker_stream(events: DataFrame, key: str, ts: str, tie: str, failed: Column, target: str | None = None,
-                   failures: int = BREAKER_FAILURES, pause: int = BREAKER_PAUSE_SECONDS) -> DataFrame:
-    """Streaming form with state per key: a call inside a pause is blocked and changes nothing.
+def breaker_stream(events: DataFrame, key: str, ts: str, tie: str, failed: Column, target: str | None = None, failures: int = BREAKER_FAILURES,
+                   pause: int = BREAKER_PAUSE_SECONDS, delay: int = 3600, stretch: int = 3600) -> DataFrame:
+    """Streaming form in event time: a call inside a pause is blocked and changes nothing.
 
-    Run over the available input; the stored rows are (tie, key, ts, falhou, bloqueada, falhas, pausa_ate). The
-    calls of a batch are sorted by key, time and ``tie`` by Spark, which spills, and pass a task one by one; a task
-    holds a counter and a time. These are kept per key from batch to batch, and forgotten when they say nothing
-    any more. The batch number is part of every path, so a batch that is run again replaces its own output.
+    Run over the available input; the stored rows are (tie, key, ts, falhou, bloqueada, falhas, pausa_ate, tardia). Calls wait until the
+    latest time seen is ``delay`` seconds past them, so batches may bring them in any order within that; what still waits when the input ends
+    is judged then. A call that comes later than that finds its time already judged: it changes nothing and is marked ``tardia``, with the other results
+    NULL. A call without key or time is passed on with NULL results. Calls that are due go through ``blocking_breaker`` in stretches, so a
+    key of any size spreads over tasks; count and pause of each key go from batch to batch and are forgotten when they say nothing any more.
+
+    The batch number is part of every path, so a batch that is run again replaces its own output; state and waiting calls of batches before
+    the last two are removed.
     """
     spark = events.sparkSession
     target = target or new_folder(spark, "disjuntor")
-    state = f"{key} long, _falhas int, _pausa timestamp"
-    schema = f"{tie} long, {key} long, {ts} timestamp, falhou boolean, bloqueada boolean, falhas int, pausa_ate timestamp"
-    step = pd.Timedelta(seconds=pause)
-
-    def follow(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, count, until = object(), 0, None
-        for page in pages:
-            out = []
-            for ident, who, when, bad, before, paused in page.itertuples(index=False):
-                if who != now:
-                    now, count = who, 0 if pd.isna(before) else int(before)
-                    until = None if pd.isna(paused) else paused
-                blocked = until is not None and when < until
-                if not blocked:
-                    count = count + 1 if bad else 0
-                    if count >= failures:
-                        until, count = when + step, failures - 1
-                out.append((ident, who, when, bad, blocked, count, until))
-            yield pd.DataFrame(out, columns=[tie, key, ts, "falhou", "bloqueada", "falhas", "pausa_ate"])
-
-    def write(batch: DataFrame, number: int) -> None:
-        before = spark.read.parquet(f"{target}/estado/{number - 1}") if number else spark.createDataFrame([], state)
-        rows = batch.join(before, key, "left").select(tie, key, ts, "falhou", "_falhas", "_pausa")
-        rows.repartition(key).sortWithinPartitions(key, ts, tie).mapInPandas(follow, schema).write.mode("overwrite").parquet(f"{target}/chamadas/lote={number}")
-        done = spark.read.parquet(f"{target}/chamadas/lote={number}")
-        last = done.groupBy(key).agg(F.max_by(F.struct("falhas", "pausa_ate", ts), F.struct(ts, tie)).alias("_l"))
-        open_ = (F.col("_l.falhas") > 0) | (F.col("_l.pausa_ate") > F.col(f"_l.{ts}"))
-        new = last.where(open_).select(key, F.col("_l.falhas").alias("_falhas"), F.col("_l.pausa_ate").alias("_pausa"))
-        before.join(last, key, "left_anti").unionByName(new).write.mode("overwrite").parquet(f"{target}/estado/{number}")
-
-    rows = events.select(F.col(tie).cast("long").alias(tie), F.col(key).cast("long").alias(key), F.col(ts).cast("timestamp").alias(ts), F.coalesce(failed, F.lit(False)).alias("falhou"))
-    rows = rows.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    spark.createDataFrame([], schema).write.parquet(f"{target}/chamadas/lote=-1")
-    finish(rows.writeStream.option("checkpointLocation", new_folder(spark, "ckpt")).foreachBatch(write))
-    return spark.read.parquet(f"{target}/chamadas").drop("lote")
+    kinds = {c: events.schema[c].dataType.simpleString() for c in (tie, key)}
+    call = f"{tie} {kinds[tie]}, {key} {kinds[key]}, {ts} timestamp, falhou boolean"
+    micros, empty = F.unix_micros(ts), lambda schema: spark.createDataFrame([], schema)
+    seen = [-1]
+
+    def saved(df: DataFrame, name: str, number: int) -> DataFrame:
+        path = f"{target}/{name}/{number}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def earlier(name: str, number: int, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{target}/{name}/{number - 1}") if number else empty(schema)
+
+    def judge(batch: DataFrame, number: int, last: bool = False) -> None:
+        pool = saved(batch.unionByName(earlier("espera", number, call)), "lido", number)
+        mark = (earlier("marca", number, "marca long").first() or [None])[0]
+        mark = -(1 << 62) if mark is None else mark
+        newest = pool.agg(F.max(micros)).first()[0]
+        upto = (1 << 62) if last else mark if newest is None else max(mark, newest - delay * 1_000_000)
+        placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+        due = pool.where(~placed | ((micros >= mark) & (micros < upto)))
+        before = earlier("estado", number, f"{key} {kinds[key]}, falhas int, pausa timestamp")
+        done = blocking_breaker(due, key, ts, tie, F.col("falhou"), failures, pause, stretch, before).withColumn("tardia", F.lit(False))
+        late = pool.where(placed & (micros < mark)).select("*", *(F.lit(None).cast(k).alias(c) for c, k in (("bloqueada", "boolean"), ("falhas", "int"), ("pausa_ate", "timestamp"))), F.lit(True).alias("tardia"))
+        done.unionByName(late).write.mode("overwrite").parquet(f"{target}/chamadas/lote={number}")
+        new = spark.read.parquet(f"{target}/chamadas/lote={number}").where("bloqueada IS NOT NULL")
+        new = new.groupBy(key).agg(F.max_by(F.struct("falhas", "pausa_ate", ts), F.struct(ts, tie)).alias("l"))
+        says = (F.col("l.falhas") > 0) | F.col("l.pausa_ate").isNotNull()
+        kept = before.join(new, key, "left_anti").unionByName(new.where(says).select(key, F.col("l.falhas").alias("falhas"), F.col("l.pausa_ate").alias("pausa")))
+        saved(kept, "estado", number)
+        saved(pool.where(placed & (micros >= upto)), "espera", number)
+        saved(spark.createDataFrame([(upto,)], "marca long"), "marca", number)
+        seen[0] = number
+        for name in ("lido", "estado", "espera", "marca"):
+            remove_folder(spark, f"{target}/{name}/{number - 2}")
+
+    rows = events.select(tie, key, F.col(ts).cast("timestamp").alias(ts), F.coalesce(failed, F.lit(False)).alias("falhou"))
+    done = f"{call}, bloqueada boolean, falhas int, pausa_ate timestamp, tardia boolean"
+    empty(done).write.parquet(f"{target}/chamadas/lote=-1")
+    finish(rows.writeStream.option("checkpointLocation", new_folder(spark, "ckpt")).foreachBatch(judge))
+    if seen[0] >= 0:
+        judge(empty(call), seen[0] + 1, last=True)
+    return spark.read.schema(done).parquet(f"{target}/chamadas").drop("lote")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.breaker import blocking_breaker
 from ..operators.windows import failure_streaks
 from ..session import new_folder
 from ..streaming import limits, loads
@@ -92,7 +93,7 @@ def r4_breaker(spark, sf):
         "event_id", "user_id", "sequencia", "abre", "pausa_ate")
 
 
-@query("r4_breaker_stream", """
+_BLOCKING = """
 WITH RECURSIVE e AS (SELECT event_id, user_id, ts, event_type = 'error' AS falhou, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 r AS (
   SELECT event_id, user_id, ts, falhou, n, false AS bloqueada, CASE WHEN falhou THEN 1 ELSE 0 END AS falhas, CAST(NULL AS TIMESTAMP) AS pausa_ate FROM e WHERE n = 1
@@ -101,10 +102,44 @@ r AS (
     CASE WHEN coalesce(e.ts < r.pausa_ate, false) THEN r.falhas WHEN NOT e.falhou THEN 0 WHEN r.falhas = 2 THEN 2 ELSE r.falhas + 1 END,
     CASE WHEN NOT coalesce(e.ts < r.pausa_ate, false) AND e.falhou AND r.falhas = 2 THEN e.ts + INTERVAL 5 MINUTE ELSE r.pausa_ate END
   FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
-SELECT event_id, user_id, falhou, bloqueada, falhas, pausa_ate FROM r""", views=False)
+"""
+
+
+@query("r4_breaker_stream", _BLOCKING + "SELECT event_id, user_id, falhou, bloqueada, falhas, pausa_ate FROM r", views=False)
 def r4_stream(spark, sf):
     stream = loads.stream_table(spark, _source(sf))
-    return limits.breaker_stream(stream, "user_id", "ts", "event_id", F.col("event_type") == "error").drop("ts")
+    return limits.breaker_stream(stream, "user_id", "ts", "event_id", F.col("event_type") == "error").drop("ts", "tardia")
+
+
+@query("r4_blocking_breaker", _BLOCKING + "SELECT event_id, user_id, falhou, bloqueada, falhas, pausa_ate FROM r", views=False)
+def r4_blocking(spark, sf):
+    """The blocking breaker over a table of calls, one day a stretch."""
+    return blocking_breaker(_events(spark, sf), "user_id", "ts", "event_id", F.col("event_type") == "error", stretch=86_400).drop("ts")
+
+
+@query("r4_breaker_of_one_key", """
+WITH RECURSIVE e AS (SELECT event_id, ts, event_type = 'error' AS falhou, row_number() OVER (ORDER BY ts, event_id) AS n FROM events),
+"""+_BLOCKING[_BLOCKING.index("r AS ("):].replace("event_id, user_id", "event_id").replace("e.user_id, ", "").replace("e.user_id = r.user_id AND ", "")
+       + "SELECT event_id, falhou, bloqueada, falhas, pausa_ate FROM r", views=False)
+def r4_one_key(spark, sf):
+    """All calls as those of one key: its days are worked side by side."""
+    calls = _events(spark, sf).withColumn("todos", F.lit(1))
+    return blocking_breaker(calls, "todos", "ts", "event_id", F.col("event_type") == "error", stretch=86_400).drop("ts", "todos")
+
+
+@query("r4_breaker_stream_late_calls", _BLOCKING + "SELECT event_id, user_id, falhou, bloqueada, falhas, pausa_ate, false AS tardia FROM r", views=False)
+def r4_late(spark, sf):
+    """Five batches in order of time, a tenth of each batch's calls only in the next one."""
+    e = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    lo, hi = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    width = (hi - lo) // 5 + 1
+    lot = F.floor((F.unix_micros("ts") - lo) / width) + (F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0).cast("int")
+    path = new_folder(spark, "chamadas")
+    for n in range(6):
+        e.where(lot == n).coalesce(1).write.mode("append").parquet(path)
+    stream = loads.stream_table(spark, path, maxFilesPerTrigger=1)
+    late = limits.breaker_stream(stream, "user_id", "ts", "event_id", F.col("event_type") == "error", delay=width // 1_000_000 + 1)
+    return late.drop("ts")
 
 
 @query("r5_repeats_within", """
