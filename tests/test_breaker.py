@@ -84,10 +84,9 @@ def test_stream_of_shuffled_batches(spark, tmp_path):
 
     rows, r = some(600), random.Random(8)
     lot = lambda t: 0 if t is None else min(4, int(((t - START).total_seconds() + r.randint(0, 2000)) // 4500))
-    parts = [[x for x in rows if lot(x[2]) == n] for n in range(5)]
-    rows = sum(parts, [])
-    for n, part in enumerate(parts):
-        spark.createDataFrame(part, "id long, who long, at timestamp, bad boolean").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    lots = [lot(x[2]) for x in rows]
+    for n in range(5):
+        spark.createDataFrame([x for x, k in zip(rows, lots) if k == n], "id long, who long, at timestamp, bad boolean").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = lambda: stream_table(spark, str(tmp_path / "in"), maxFilesPerTrigger=1)
     got = breaker_stream(stream(), "who", "at", "id", F.col("bad"), delay=6600)
     assert flat(got) == expected(rows) and got.where("tardia").isEmpty()
