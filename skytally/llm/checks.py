@@ -1,5 +1,7 @@
 """The queries' results in DuckDB SQL, for those that SQL can express."""
 
+from .chat_format import Template
+
 _INTS = "list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))"
 
 TOPK = f"""
@@ -35,18 +37,23 @@ FROM d LEFT JOIN n USING (doc_id) JOIN t ON t.node = d.doc_id
 CHAT = """
 WITH s AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 p AS (SELECT DISTINCT conv_id, role AS perspective FROM s WHERE role IS NOT NULL AND role <> 'system'),
+n AS (
+  SELECT *, coalesce(CAST(floor(turn / 512) AS BIGINT), -1) AS chunk, strlen(coalesce(text, '')) + strlen(coalesce(role, '')) + {marks} AS bytes FROM s),
+k AS (
+  SELECT *, CAST((count(*) OVER w) // 512 + coalesce(sum(bytes) OVER w, 0) // 67108864 AS BIGINT) AS part FROM n
+  WINDOW w AS (PARTITION BY conv_id, chunk ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 r AS (
-  SELECT s.conv_id, p.perspective, coalesce(CAST(floor(turn / 512) AS BIGINT), -1) AS chunk, turn, role, text, coalesce(role = perspective, false) AS own,
+  SELECT s.conv_id, p.perspective, chunk, part, turn, role, text, coalesce(role = perspective, false) AS own,
     CASE WHEN role = perspective THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user|>' || coalesce(role, '') END || chr(10) AS mark,
     coalesce(text, '') || '<|end|>' || chr(10) AS body
-  FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+  FROM k s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 o AS (
-  SELECT *, CAST(sum(length(mark) + length(body)) OVER (PARTITION BY conv_id, perspective, chunk ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
+  SELECT *, CAST(sum(length(mark) + length(body)) OVER (PARTITION BY conv_id, perspective, chunk, part ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
   FROM r)
-SELECT conv_id, perspective, chunk, count(*) AS n_turns, count(*) FILTER (own) AS n_trained, string_agg(mark || body, '' ORDER BY stop) AS text,
+SELECT conv_id, perspective, chunk, part, count(*) AS n_turns, count(*) FILTER (own) AS n_trained, string_agg(mark || body, '' ORDER BY stop) AS text,
   coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY stop) FILTER (own), '') AS mask
 FROM o GROUP BY ALL
-"""
+""".replace("{marks}", str(sum(len(x.encode()) for x in Template())))
 
 LINES = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
@@ -84,12 +91,12 @@ def _reference_free(text: str) -> str:
 
 
 def _page_text(html: str) -> str:
-    hidden = "|".join(rf"{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript"))
+    hidden = "|".join(rf"{tag}\b[^<>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript"))
     t = rf"regexp_replace({html}, '(?is)<(?:!--.*?(?:-->|\z)|{hidden})', '', 'g')"
     t = rf"regexp_replace({t}, '[ \t\r\n\f]+', ' ', 'g')"
     blocks = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
-    t = rf"regexp_replace({t}, '(?i)</?({blocks})\b[^>]*>', chr(10), 'g')"
-    t = _reference_free(rf"regexp_replace({t}, '</?[A-Za-z!?][^>]*>', '', 'g')")
+    t = rf"regexp_replace({t}, '(?i)</?({blocks})\b[^<>]*>', chr(10), 'g')"
+    t = _reference_free(rf"regexp_replace({t}, '</?[A-Za-z!?][^<>]*>', '', 'g')")
     t = rf"regexp_replace({t}, ' *\n[ \n]*', chr(10), 'g')"
     return rf"regexp_replace({t}, '\A[ \n]+|[ \n]+\z', '', 'g')"
 

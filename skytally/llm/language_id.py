@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import bounded
@@ -32,12 +32,10 @@ _AT_ONCE = 1 << 20
 
 
 class Limits(NamedTuple):
-    """Bounds of a model: rows sampled of each language, languages (None: all), and entries of each table and language."""
+    """Bounds of a model: rows sampled of each language, and languages (None: all). Every entry of a sampled row is kept."""
 
-    sample: int = 5_000
+    sample: int = 1_500
     languages: int | None = None
-    words: int = 20_000
-    grams: int = 8_000
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -120,8 +118,8 @@ def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
     """Model from rows (doc_id, text, lang); rows without lang or text teach nothing.
 
     Every label is learned, unless ``languages`` keeps the most frequent ones alone. About ``sample`` rows of each
-    language are counted, chosen by the hash of their doc_id, and the most frequent ``words`` and ``grams`` of each
-    language are kept, so the model is bounded for each language whatever the input; its size follows their number.
+    language are counted, chosen by the hash of their doc_id; all their words and n-grams are kept. So the sample bounds what a
+    language adds to the model whatever the input, and the model's size follows the number of languages.
     No labelled row: a model that knows no language.
     """
     bounded(labelled)
@@ -138,10 +136,7 @@ def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
     total = lambda df: df.groupBy("lang", "kind", "feature").agg(F.sum("c").alias("c"))
     counted = total(rows.mapInArrow(_words, _COUNTED))
     counted = counted.unionAll(total(counted.mapInArrow(_grams, _COUNTED)))
-    top = Window.partitionBy("lang", "kind").orderBy(F.desc("c"), "feature")
-    keep = F.when(F.col("kind") == 0, limits.words).otherwise(limits.grams)
-    best = counted.withColumn("r", F.row_number().over(top)).where(F.col("r") <= max(limits.words, limits.grams)).where(F.col("r") <= keep)
-    batches = best.select("lang", "kind", "feature", "c").toArrow().to_batches()
+    batches = counted.select("lang", "kind", "feature", "c").toArrow().to_batches()
     return _model(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
 
 

@@ -180,7 +180,7 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands: Bands = BANDS_85, slack: float | None = None, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row of ``docs`` (doc_id long, text string).
+    """doc_id, n_shingles, component_id, kept, same (hash of the text) of each row of ``docs`` (doc_id long, text string).
 
     A document's set: its distinct runs of ``shingle`` words, A-Z lower-cased; with fewer words, all of them as
     one run; none without words or text. Documents are linked with 100 * common >= ``percent`` * united.
@@ -204,22 +204,36 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     signed = spark.read.parquet(path)
     equal = ["n", "k1", "k2"]
     named = signed.where("n > 0 AND doc_id IS NOT NULL")
+    # A set's node is the smallest doc_id that has it, unless rows of one doc_id have several sets: those are told apart by their hashes.
+    several = named.groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in equal for f in (F.min, F.max)))
+    several = several.where(" OR ".join(f"min_{c} != max_{c}" for c in equal)).select(F.col("doc_id").alias("_several"))
+    repeated = not several.isEmpty()
+
+    def with_node(sets: DataFrame) -> DataFrame:
+        if not repeated:
+            return sets.withColumn("node", F.col("doc"))
+        marked = sets.join(several, F.col("doc") == F.col("_several"), "left")
+        return marked.withColumn("node", F.when(F.col("_several").isNull(), F.col("doc")).otherwise(F.xxhash64(*equal))).drop("_several")
+
     # Of two different sets, one at least must have more than one shingle for a link.
     nodes = named.where("n > 1").groupBy(equal).agg(F.min(F.struct("doc_id", "same")).alias("least"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    nodes = nodes.select(F.col("least.doc_id").alias("node"), F.col("least.same").alias("its"), "n", "bands", "sig")
+    nodes = with_node(nodes.select(F.col("least.doc_id").alias("doc"), F.col("least.same").alias("its"), *equal, "bands", "sig"))
     keys = nodes.select("node", F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
     families = components(keys.join(heads, "key").where("node != head").select("node", "head"), "node", "head")
-    members = families.join(nodes.select("node", "its", "n", "sig"), "node")
+    members = families.join(nodes.select("node", "doc", "its", "n", "sig"), "node")
     blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / block).alias("blocks"))
-    members = members.join(blocks, "component").select(F.col("component").alias("family"), "node", "its", "sig", "blocks", F.expr("pmod(xxhash64(node), blocks)").alias("block"))
-    texts = docs.join(members, (F.col("doc_id") == F.col("node")) & (F.col("same") == F.col("its")))
+    members = members.join(blocks, "component").select(F.col("component").alias("family"), "node", "doc", "its", "sig", "blocks", F.expr("pmod(xxhash64(node), blocks)").alias("block"))
+    texts = docs.join(members, (F.col("doc_id") == F.col("doc")) & (F.col("same") == F.col("its")))
     tasks = texts.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     tasks = tasks.select("family", "i", "j", "node", "block", "sig", "text").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
     links = tasks.mapInArrow(_confirm(shingle, bands.hashes, percent, slack), "a long, b long")
     joined = components(links, "a", "b")
-    reps = named.groupBy(equal).agg(F.min("doc_id").alias("node"))
-    reps = reps.join(joined, "node", "left").select(*(F.col(c).alias(f"_{c}") for c in equal), F.coalesce("component", "node").alias("component"))
+    reps = with_node(named.groupBy(equal).agg(F.min("doc_id").alias("doc")))
+    reps = reps.join(joined, "node", "left").select(*(F.col(c).alias(f"_{c}") for c in equal), "doc", F.coalesce("component", "node").alias("component"))
+    if repeated:  # a component is named by its smallest doc_id, which is not its smallest node
+        reps = reps.join(reps.groupBy("component").agg(F.min("doc").alias("smallest")), "component").drop("component").withColumnRenamed("smallest", "component")
     out = signed.join(reps, (F.col("n") == F.col("_n")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.expr("component_id IS NULL OR component_id = doc_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "same")
+    return out.select("doc_id", "n_shingles", "component_id", F.expr("component_id IS NULL OR component_id = doc_id").alias("kept"), "same")

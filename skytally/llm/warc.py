@@ -60,18 +60,21 @@ def _unescaped(text: Column) -> Column:
 
 
 #: Comments and elements without text of their own, to their end or the page's; one pass over the page.
-_HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|" + "|".join(rf"{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript")) + ")"
+_HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|" + "|".join(rf"{tag}\b[^<>]*>.*?(?:</{tag}\s*+>|\z)" for tag in ("script", "style", "template", "noscript")) + ")"
 
 
 def plain_text(html: Column) -> Column:
-    """Text of a page: comments, scripts, styles and tags taken out, blocks on lines of their own."""
+    """Text of a page: comments, scripts, styles and tags taken out, blocks on lines of their own.
+
+    A tag ends before the next ``<``; what is never closed stays as text. So the time follows the page's length, however broken it is.
+    """
     t = F.regexp_replace(html, _HIDDEN, "")
     t = F.regexp_replace(t, r"[ \t\r\n\f]+", " ")
-    t = F.regexp_replace(t, r"(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"</?[A-Za-z!?][^>]*>", "")
+    t = F.regexp_replace(t, r"(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", "\n")
+    t = F.regexp_replace(t, r"</?[A-Za-z!?][^<>]*>", "")
     t = _unescaped(t)
-    t = F.regexp_replace(t, r" *\n[ \n]*", "\n")
-    return F.regexp_replace(t, r"\A[ \n]+|[ \n]+\z", "")
+    t = F.regexp_replace(t, r"(?<! ) *\n[ \n]*", "\n")
+    return F.regexp_replace(t, r"\A[ \n]+|(?<![ \n])[ \n]+\z", "")
 
 
 def derive(records: DataFrame) -> DataFrame:
@@ -80,20 +83,26 @@ def derive(records: DataFrame) -> DataFrame:
     ``records``: columns ``RECORD``. Other types give nothing. Both refer to the response (``refers_to``) and keep
     its URI and date; the text is concurrent to the metadata. The metadata block holds the response's status line,
     each header of the source with its name, both digests of the source, and the id and digest of the text. The
-    text's payload_digest is that of its block. Null block: an empty payload without headers. Ids follow from the
+    text's payload_digest is that of its block. The payload starts behind the first empty line, with CRLF or bare line feeds; a block
+    that does not start with ``HTTP/`` is payload alone. Null block: an empty payload without headers. Very long and broken pages are read whole. Ids follow from the
     response's id, so equal records give equal ones; an empty table gives an empty result. Columns of ``RECORD``
     alone are read.
     """
     block = F.coalesce("block", F.lit(""))
-    at = F.instr(block, _CRLF * 2)
-    head = F.when(at > 0, F.substr(block, F.lit(1), at - 1)).otherwise(F.lit(""))
-    body = F.when(at > 0, F.substr(block, at + 4)).otherwise(F.lit(""))
+    empty = F.lit("")
+    wide, narrow = F.instr(block, _CRLF * 2), F.instr(block, "\n\n")
+    narrow = F.when(narrow > 0, narrow)
+    at = F.least(F.when(wide > 0, wide), narrow)
+    gap = F.when(at == narrow, 2).otherwise(4)
+    is_http = F.startswith(block, F.lit("HTTP/"))
+    head = F.when(is_http, F.when(at.isNull(), block).otherwise(F.substr(block, F.lit(1), at - 1))).otherwise(empty)
+    body = F.when(is_http, F.when(at.isNull(), empty).otherwise(F.substr(block, at + gap))).otherwise(block)
     r = records.where("type = 'response'").select(*(c for c in RECORD if c != "block"), head.alias("head"), body.alias("body"))
     r = r.withColumn("text", plain_text(F.col("body"))).withColumns({
         "meta_id": uuid_urn(F.lit("metadata"), F.col("record_id")), "text_id": uuid_urn(F.lit("conversion"), F.col("record_id")), "text_digest": digest(F.col("text")),
     })
-    lines = F.filter(F.split("head", _CRLF), lambda x: x != "")
-    status, fields = F.coalesce(F.get(lines, F.lit(0)), F.lit("")), F.slice(lines, 2, 1_000_000)
+    lines = F.filter(F.split("head", r"\r?\n"), lambda x: x != "")
+    status, fields = F.coalesce(F.get(lines, F.lit(0)), F.lit("")), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))
     meta = F.concat_ws(
         "",
         *(F.concat(F.lit(f"{k}: "), F.coalesce(v, F.lit("")), F.lit(_CRLF)) for k, v in (

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import pytest
@@ -39,10 +40,27 @@ def test_no_labels_and_empty_table(spark):
     assert identify(taught(spark, [])).count() == 0
 
 
-def test_model_is_bounded(spark):
+def test_sample_and_languages_are_bounded(spark):
     rows = [(i, " ".join(chr(97 + (i * k) % 26) * (k % 9 + 1) for k in range(40)), f"l{i % 5}") for i in range(200)]
-    model = train(taught(spark, rows), Limits(sample=20, languages=3, words=10, grams=5))
-    assert len(model.languages) == 3 and len(model.tables[0]) <= 30 and all(len(model.tables[n]) <= 15 for n in (1, 2, 3, 4, 5))
+    model = train(taught(spark, rows), Limits(sample=20, languages=3))
+    assert len(model.languages) == 3
+
+
+def test_training_equals_loops(spark):
+    """Every word and n-gram of every labelled row, counted and scored."""
+    r = random.Random(9)
+    rows = [(i, r.choice([None, "", *(" ".join(r.choice(["Ab", "abc", "né", "中文", "x-y", "q1r", "zzzzzz"]) for _ in range(r.randint(1, 9))) for _ in range(5))]), r.choice([None, "a", "b", "c"])) for i in range(120)]
+    model, counts = train(taught(spark, rows)), {}
+    for _, text, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()) if lang else []:
+            for kind, f in [(0, w), *((n, g) for n in GRAMS for g in grams(w, n))]:
+                counts.setdefault((kind, f), dict.fromkeys("abc", 0))[lang] += 1
+    assert model.languages == ["a", "b", "c"] and {(k, f) for k, t in model.tables.items() for f in t} == set(counts)
+    size = {k: len(t) for k, t in model.tables.items()}
+    seen = {(k, x): sum(c[x] for (j, _), c in counts.items() if j == k) for k in size for x in "abc"}
+    for (k, f), c in counts.items():
+        want = [math.log((c[x] + 0.5) / (seen[k, x] + 0.5 * size[k])) for x in "abc"]
+        assert list(model.scores[model.tables[k][f]]) == pytest.approx(want)
 
 
 def test_every_label_is_learned(spark):

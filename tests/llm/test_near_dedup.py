@@ -98,3 +98,10 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     df = QUERIES["op2_near_dedup"](spark, sf)
     assert got(df) == brute(rows, 85)
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_own_text(docs):
+    a, b = ([f"{x}{i}" for i in range(100)] for x in "ab")
+    other = lambda w: " ".join([*w[:-1], "x"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (3, other(a)), (9, other(b)), (5, None), (4, "few words"), (5, "few words")]
+    assert got(near_duplicates(docs(rows))) == sorted([(5, 96, 3, False), (5, 96, 5, True), (3, 96, 3, True), (9, 96, 5, False), (5, 0, 5, True), (4, 1, 4, True), (5, 1, 4, False)], key=str)

@@ -1,6 +1,7 @@
 """Derived records: links, digests, text, and the files' round trip."""
 
 import hashlib
+import time
 import html as entities
 
 import pytest
@@ -41,17 +42,28 @@ def test_links_and_digests(pages):
 
 
 def test_other_records_and_broken_blocks(spark):
-    rows = [("<a>", "request", "x\r\n\r\ny"), ("<b>", "response", None), ("<c>", "response", "no header"), ("<d>", "response", "HTTP/1.1 404\r\n\r\n<p>gone"), (None, None, None)]
+    rows = [("<a>", "request", "x\r\n\r\ny"), ("<b>", "response", None), ("<c>", "response", "no header"), ("<d>", "response", "HTTP/1.1 404\r\n\r\n<p>gone"), (None, None, None),
+            ("<e>", "response", "HTTP/1.1 200 OK\nA: b\nC: d\n\none\r\n\r\ntwo"), ("<f>", "response", "HTTP/1.1 200 OK\r\nA: b"), ("<g>", "response", "<p>plain\n\npayload")]
     df = spark.createDataFrame(rows, "record_id string, type string, block string")
     df = df.withColumns({c: F.lit(None).cast("string") for c in RECORD if c not in df.columns})
     got = {r.refers_to: r for r in derive(df).where("type = 'conversion'").collect()}
-    assert {k: v.block for k, v in got.items()} == {"<b>": "", "<c>": "", "<d>": "gone"}
+    assert {k: v.block for k, v in got.items()} == {"<b>": "", "<c>": "no header", "<d>": "gone", "<e>": "one two", "<f>": "", "<g>": "plain payload"}
+    meta = {r.refers_to: r.block for r in derive(df).where("type = 'metadata'").collect()}
+    assert "source-header-A: b\r\nsource-header-C: d\r\n" in meta["<e>"] and meta["<f>"].endswith("source-header-A: b\r\n") and "source-status: \r\n" in meta["<g>"]
+
+
+@pytest.mark.parametrize("unit,rest", [("<a", 1), ("<!--", 0), ("&", 1), ("<script", 1), ("<div ", 1), ("<b> ", 0), (" \n", 0), ("a  ", 1), ("<style>", 0), ("</p", 1)])
+def test_broken_pages_take_time_in_proportion(spark, unit, rest):
+    df = spark.createDataFrame([(unit * (1_000_000 // len(unit)),)], "t string")
+    start = time.monotonic()
+    n = df.select(F.length(plain_text(F.col("t")))).first()[0]
+    assert time.monotonic() - start < 20 and (n > 300_000) == bool(rest)
 
 
 def test_text(spark):
     cases = {
         PAGES[0][2]: "T & U\nOne\ntwo bold\nLast", "a<!-- x": "a", "<p>x<script>y": "x", "": "", " \n ": "", "1 < 2 &amp;amp; 3": "1 < 2 &amp; 3",
-        "a<span>b</span>c<p>d</p>e": "abc\nd\ne", "<a href='x>y'>z</a>": "y'>z", "&eacute;&hellip;": "é…",
+        "a<span>b</span>c<p>d</p>e": "abc\nd\ne", "<a href='x>y'>z</a>": "y'>z", "x <b y<i>z</i>": "x <b yz", "&eacute;&hellip;": "é…",
     }
     df = spark.createDataFrame(list(cases.items()), "html string, want string")
     assert [r.t for r in df.select(plain_text(F.col("html")).alias("t"), "want").collect()] == list(cases.values())
