@@ -36,9 +36,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked at a similarity of 0.8, the one with the smallest doc_id stays."""
+    """Of each group of documents linked at a similarity of 0.8, the one with the smallest doc_id stays.
+
+    Rows that share a doc_id are judged by their own text; those that share the text too stay or go together.
+    """
     found = near_dedup.near_duplicates(docs, 80, bands=near_dedup.BANDS_80)
-    return docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("same").alias("gone_text")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_text"]), "left_anti")
 
 
 def cut_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
