@@ -149,49 +149,68 @@ def failure_streaks(
 
 
 def nearest_rank(
-    df: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float], cells: int = 1000, levels: int = 2
+    df: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float], small: int = 10_000, k: int = 800, rounds: int = 8
 ) -> DataFrame:
-    """Exact nearest-rank percentiles per group; without keys, of all rows.
+    """Exact nearest-rank percentiles per group; without keys, of all rows. NULL values are left out, NaN is the largest.
 
-    Values are first counted, then narrowed: a histogram of ``cells`` per group finds the cell that
-    holds each rank, and only that cell is looked into again. No group is sorted as a whole.
+    Each rank is bracketed by two pivots out of a hundred from a mergeable sketch (KLL), the rows below and inside the bracket are counted exactly, and only rows
+    inside go on, until every bracket has at most ``small`` rows or is one value. The sketch never decides: a bracket that its
+    error makes miss the rank is drawn wider in the next round. So no task sorts a group, however its values lie, and a round
+    reads a few hundredths of the rows of the one before.
     """
     if not keys:
-        return nearest_rank(df.withColumn("_all", F.lit(0)), ["_all"], value, percentiles, cells, levels).drop("_all")
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    bounds = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("_p"), F.greatest(F.ceil(F.lit(p) * F.col("_total")), F.lit(1)).alias("_rank"))
-        for n, p in percentiles.items()
-    ]))
-    asked = bounds.select(*keys, "_lo", "_hi", wanted.alias("_w")).select(
-        *keys, F.col("_w._p").alias("_p"), F.col("_w._rank").alias("_rank"), "_lo", "_hi"
-    )
-    # Work lists: (group, percentile, range, rank inside the range).
-    for _ in range(levels):
-        width = F.col("_hi") - F.col("_lo")
-        cell = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * cells), F.lit(cells - 1))).otherwise(F.lit(0))
-        inside = _same(counted, asked, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        hist = inside.groupBy(*keys, "_p", "_rank", cell.alias("_cell")).agg(
-            F.sum("_n").alias("_c"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2")
-        )
-        cum = F.sum("_c").over(Window.partitionBy(*keys, "_p").orderBy("_cell"))
-        asked = (
-            hist.withColumn("_cum", cum)
-            .filter((F.col("_cum") >= F.col("_rank")) & (F.col("_cum") - F.col("_c") < F.col("_rank")))
-            .select(*keys, "_p", (F.col("_rank") - (F.col("_cum") - F.col("_c"))).alias("_rank"),
-                    F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"))
-        )
-    inside = _same(counted, asked, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        return nearest_rank(df.withColumn("_all", F.lit(0)), ["_all"], value, percentiles, small, k, rounds).drop("_all")
+    kind = df.schema[value].dataType.simpleString()
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    sketch, quantile = (F.kll_sketch_agg_bigint, F.kll_sketch_get_quantile_bigint) if whole else (F.kll_sketch_agg_double, F.kll_sketch_get_quantile_double)
+    point = F.col("_v").cast("bigint" if whole else "double")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    names, group = list(percentiles), [F.col(c) for c in keys]
+    inside = lambda i: (F.col(f"_lo{i}").isNull() | (point >= F.col(f"_lo{i}"))) & (F.col(f"_hi{i}").isNull() | (point <= F.col(f"_hi{i}")))
+    each = lambda f: [c for i in range(len(names)) for c in f(i)]
+    # For each group and percentile: rows in its bracket, rank in there, and the bracket's ends (NULL: open).
+    state = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    state = state.select(*group, *each(lambda i: [
+        F.col("_n").alias(f"_n{i}"), F.greatest(F.ceil(F.lit(percentiles[names[i]]) * F.col("_n")), F.lit(1)).cast("long").alias(f"_r{i}"),
+        F.lit(None).cast(point_type(whole)).alias(f"_lo{i}"), F.lit(None).cast(point_type(whole)).alias(f"_hi{i}")]))
+    state, margin = stored(state, "faixas"), 1
+    grid = F.array(*[F.lit(x / 100) for x in range(101)])
+    large = " OR ".join(f"(_n{i} > {small} AND NOT _lo{i} <=> _hi{i} OR _n{i} > {small} AND _lo{i} IS NULL)" for i in range(len(names)))
+    for _ in range(rounds):
+        if state.where(large).isEmpty():
+            break
+        sketched = _beside(rows, state, keys).groupBy(*keys).agg(*each(lambda i: [quantile(sketch(F.when(inside(i), point), F.lit(k)), grid).alias(f"_k{i}")]))
+        # A hundred pivots; the rank's own cell and ``margin`` more on both sides.
+        cell = lambda i: F.least(F.floor((F.col(f"_r{i}") - 0.5) / F.col(f"_n{i}") * 100), F.lit(99)).cast("int")
+        cut = lambda i, at, old: F.when(at.between(1, 99), F.get(f"_k{i}", F.greatest(F.least(at, F.lit(100)), F.lit(0)))).otherwise(F.col(old))
+        tried = _beside(state, sketched, keys).select(*group, *each(lambda i: [
+            F.col(f"_n{i}"), F.col(f"_r{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}"), cut(i, cell(i) - margin, f"_lo{i}").alias(f"_a{i}"), cut(i, cell(i) + 1 + margin, f"_hi{i}").alias(f"_b{i}")]))
+        tried = stored(tried, "faixas")
+        below = lambda i: inside(i) & F.coalesce(point < F.col(f"_a{i}"), F.lit(False))
+        above = lambda i: F.coalesce(point > F.col(f"_b{i}"), F.lit(False))
+        counts = _beside(rows, tried, keys).groupBy(*keys).agg(*each(lambda i: [F.count_if(below(i)).alias(f"_c{i}"), F.count_if(inside(i) & ~below(i) & ~above(i)).alias(f"_m{i}")]))
+        hit = lambda i: (F.col(f"_r{i}") > F.col(f"_c{i}")) & (F.col(f"_r{i}") <= F.col(f"_c{i}") + F.col(f"_m{i}"))
+        new = lambda i, yes, no: F.when(hit(i), yes).otherwise(F.col(no)).alias(no)
+        state = stored(_beside(tried, counts, keys).select(*group, *each(lambda i: [
+            new(i, F.col(f"_m{i}"), f"_n{i}"), new(i, F.col(f"_r{i}") - F.col(f"_c{i}"), f"_r{i}"), new(i, F.col(f"_a{i}"), f"_lo{i}"), new(i, F.col(f"_b{i}"), f"_hi{i}")])), "faixas")
+        some = inside(0)
+        for i in range(1, len(names)):
+            some = some | inside(i)
+        rows = stored(_beside(rows, state, keys).where(some).select(*group, "_v"), "restantes")
+        margin *= 2
+    found = _beside(rows, state, keys)
+    found = found.select(*group, "_v", F.explode(F.array(*[F.when(inside(i), F.struct(F.lit(n).alias("p"), F.col(f"_r{i}").alias("r"))) for i, n in enumerate(names)])).alias("_w")).where("_w IS NOT NULL")
+    counted = found.groupBy(*keys, F.col("_w.p").alias("_p"), F.col("_w.r").alias("_r"), "_v").agg(F.count(F.lit(1)).alias("_n"))
     cum = F.sum("_n").over(Window.partitionBy(*keys, "_p").orderBy("_v"))
-    found = (
-        inside.withColumn("_cum", cum).filter(F.col("_cum") >= F.col("_rank"))
-        .groupBy(*keys, "_p").agg(F.min("_v").alias("_v"))
-    )
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_p") == n, F.col("_v"))).alias(n) for n in percentiles])
+    last = counted.withColumn("_cum", cum).filter(F.col("_cum") >= F.col("_r")).groupBy(*keys, "_p").agg(F.min("_v").alias("_v"))
+    return last.groupBy(*keys).agg(*[F.max(F.when(F.col("_p") == n, F.col("_v"))).alias(n) for n in names])
+
+
+def point_type(whole: bool) -> str:
+    return "bigint" if whole else "double"
 
 
-def _same(counted: DataFrame, asked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    side = asked.select(*[F.col(k).alias(f"_j_{k}") for k in keys], "_p", "_rank", "_lo", "_hi")
-    cond = [counted[k].eqNullSafe(side[f"_j_{k}"]) for k in keys]
-    return counted.join(side, cond, "inner").drop(*[f"_j_{k}" for k in keys])
+def _beside(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their group's state; NULL is a group too. No hint: the state is a written table of known size."""
+    side = state.select(*[F.col(c).alias(f"_j_{c}") for c in keys], *[c for c in state.columns if c not in (*keys, *rows.columns)])
+    return rows.join(side, [rows[c].eqNullSafe(side[f"_j_{c}"]) for c in keys]).drop(*[f"_j_{c}" for c in keys])

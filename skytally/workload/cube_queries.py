@@ -247,6 +247,16 @@ def a20(spark, sf):
     return nearest_rank(t.table(spark, sf, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95, "maximo": 1.0})
 
 
+@query("a20_percentiles_with_far_tails", """
+WITH l AS (SELECT l_returnflag, CASE WHEN l_orderkey % 97 = 0 THEN l_extendedprice * 1e8 WHEN l_orderkey % 1009 = 1 THEN l_extendedprice * 1e15 ELSE l_extendedprice END AS valor FROM lineitem)
+SELECT l_returnflag, quantile_disc(valor, 0.01) AS p1, quantile_disc(valor, 0.5) AS p50, quantile_disc(valor, 0.95) AS p95, max(valor) AS maximo FROM l GROUP BY 1""", views=False)
+def a20_tails(spark, sf):
+    """A bulk and tails that lie up to fifteen orders of magnitude above it; brackets of 200 rows."""
+    far = F.when(F.col("l_orderkey") % 97 == 0, F.col("l_extendedprice") * 1e8).when(F.col("l_orderkey") % 1009 == 1, F.col("l_extendedprice") * 1e15).otherwise(F.col("l_extendedprice"))
+    rows = t.table(spark, sf, "lineitem").select("l_returnflag", far.alias("valor"))
+    return nearest_rank(rows, ["l_returnflag"], "valor", {"p1": 0.01, "p50": 0.5, "p95": 0.95, "maximo": 1.0}, small=200)
+
+
 @query("a21_movement", """
 SELECT local, CAST(sum(p) AS BIGINT) AS partidas, CAST(sum(c) AS BIGINT) AS chegadas, CAST(sum(p + c) AS BIGINT) AS movimento FROM (
   SELECT icao_origem AS local, 1 AS p, 0 AS c FROM voos UNION ALL SELECT icao_destino, 0, 1 FROM voos) GROUP BY 1""")

@@ -150,17 +150,16 @@ def x4(spark, sf):
 WITH a0 AS (SELECT conv_id * 1000 + turn AS id, {_terms(_norm('text'))} AS k FROM conversations),
 b0 AS (SELECT item_id AS exemplo, {_terms(_norm('text'))} AS k FROM benchmark),
 p AS (SELECT a.id, b.exemplo, CASE WHEN len(a.k) = 0 OR len(b.k) = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(a.k, b.k)) / (len(a.k) + len(b.k)) END AS semelhanca FROM a0 a, b0 b),
-r AS (SELECT *, count(*) FILTER (semelhanca > 0) OVER (PARTITION BY id) AS s, row_number() OVER (PARTITION BY id ORDER BY semelhanca DESC, exemplo) AS rn FROM p)
-SELECT id, exemplo, semelhanca FROM r WHERE rn <= 2 AND semelhanca > 0 OR rn <= 3 AND semelhanca = 0 AND s < 2""", views=False)
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY semelhanca DESC, exemplo) AS rn FROM p),
+t AS (SELECT id, exemplo, semelhanca FROM r WHERE rn <= 2 AND semelhanca > 0),
+f AS (SELECT p.id, p.exemplo, row_number() OVER (PARTITION BY p.id ORDER BY p.exemplo) AS k FROM p ANTI JOIN t ON t.id = p.id AND t.exemplo = p.exemplo),
+c AS (SELECT id, count(*) AS c FROM t GROUP BY id)
+SELECT * FROM t UNION ALL SELECT f.id, f.exemplo, 0.0::DOUBLE FROM f LEFT JOIN c ON c.id = f.id WHERE k <= 3 - coalesce(c, 0)""", views=False)
 def x4_fill(spark, sf):
     """Two similar examples at most, filled up to three with the first ones."""
     terms = tx.content_terms(tx.normalize_text("text")).alias("termos")
     c = t.table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), terms)
-    found = sm.top_similar(c, "id", t.table(spark, sf, "benchmark").select("item_id", terms), "item_id", n=2, minimum=3)
-    # A row with two similar examples gets a third; the check leaves out fills behind them.
-    ranked = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("semelhanca")).alias("s"), "exemplo"))).alias("l"), F.count_if(F.col("semelhanca") > 0).alias("n"))
-    rows = ranked.select("id", "n", F.explode("l").alias("x"))
-    return rows.filter("x.s < 0 OR n < 2").select("id", F.col("x.exemplo").alias("exemplo"), (-F.col("x.s")).alias("semelhanca"))
+    return sm.top_similar(c, "id", t.table(spark, sf, "benchmark").select("item_id", terms), "item_id", n=2, minimum=3)
 
 
 _MONTHS = "['" + "','".join(lx.MONTH_NAMES) + "']"

@@ -70,7 +70,7 @@ def test_previous_in_group_equals_lag(spark, chunk):
 def test_nearest_rank_equals_sorting(spark):
     rnd = random.Random(3)
     data = [("hot", rnd.gauss(0, 10)) for _ in range(900)] + [("flat", 5.0)] * 40 + [("um", 1.5), ("nulo", None)] + [("hot", 1e9)]
-    got = wn.nearest_rank(spark.createDataFrame(data, "g string, v double"), ["g"], "v", {"p50": 0.5, "p95": 0.95, "max": 1.0}, cells=10)
+    got = wn.nearest_rank(spark.createDataFrame(data, "g string, v double"), ["g"], "v", {"p50": 0.5, "p95": 0.95, "max": 1.0}, small=10)
     for r in got.collect():
         vs = sorted(v for g, v in data if g == r["g"] and v is not None)
         assert [r["p50"], r["p95"], r["max"]] == [vs[max(0, math.ceil(p * len(vs)) - 1)] for p in (0.5, 0.95, 1.0)]
@@ -182,14 +182,14 @@ def test_dice_join_equals_all_pairs(spark, threshold):
     assert best == {i: min((-s, j) for (i2, j), s in want.items() if i2 == i)[1] for i in {k[0] for k in want}}
 
 
-@pytest.mark.parametrize("block", [5, 1000])
-def test_top_similar_equals_sorting(spark, block):
+@pytest.mark.parametrize("first", [1, 3, 1000])
+def test_top_similar_equals_sorting(spark, first):
     rnd = random.Random(11)
     make = lambda n: [(i, sorted(set(rnd.choices("abcdefghijkl", k=rnd.randint(0, 4))))) for i in range(n)]
     left, right = make(30), make(23)
     l, r = spark.createDataFrame(left, "i int, termos array<string>"), spark.createDataFrame(right, "j int, termos array<string>")
     got = {}
-    for x in sm.top_similar(l, "i", r, "j", n=4, minimum=3, block=block).collect():
+    for x in sm.top_similar(l, "i", r, "j", n=4, minimum=3, first_terms=first).collect():
         got.setdefault(x["id"], []).append(x["exemplo"])
     for i, a in left:
         ranked = sorted(((-_dice(set(a), set(b)), j) for j, b in right))
