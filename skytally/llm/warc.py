@@ -73,8 +73,9 @@ def plain_text(html: Column) -> Column:
     t = F.regexp_replace(t, r"(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", "\n")
     t = F.regexp_replace(t, r"</?[A-Za-z!?][^<>]*>", "")
     t = _unescaped(t)
-    t = F.regexp_replace(t, r"(?<! ) *\n[ \n]*", "\n")
-    return F.regexp_replace(t, r"\A[ \n]+|(?<![ \n])[ \n]+\z", "")
+    # Spaces are looked at from the character before them, so a long run of them is read once.
+    t = F.regexp_replace(t, r"(\A|[^ ]) *\n[ \n]*", "$1\n")
+    return F.btrim(t, F.lit(" \n"))
 
 
 def derive(records: DataFrame) -> DataFrame:
