@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,3 +73,57 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], mode: str
     """Cluster by columns: ranges over the columns and a row hash, so one hot value fills many files."""
     spread = F.xxhash64(*df.columns)
     df.repartitionByRange(*[F.col(c) for c in columns], spread).sortWithinPartitions(*columns).write.mode(mode).parquet(path)
+
+
+def curve_position(df: DataFrame, columns: Sequence[str], bits: int = 10) -> Column:
+    """Place of a row on a space-filling curve: the bits of the columns' ranks, interleaved (Z-order).
+
+    A column's rank is its range among ``2 ** bits - 1`` approximate quantiles, so skewed columns use all of their bits; text is
+    ranked by its first six bytes, which keep its order. NULL ranks first. Only the quantiles come to the driver.
+    """
+    as_number = {c: _ordered_number(df, c) for c in columns}
+    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    got = df.agg(*[F.percentile_approx(v, steps, 10_000).alias(f"_{i}") for i, v in enumerate(as_number.values())]).first()
+    ranks = []
+    for i, v in enumerate(as_number.values()):
+        cuts = F.from_json(F.lit(json.dumps(sorted(set(got[i] or [])))), "array<double>")
+        # Quantiles at or below the value, found by halving.
+        halves = F.array(*[F.lit(1 << k) for k in range(bits - 1, -1, -1)])
+        low = F.aggregate(halves, F.lit(0), _halving(cuts, v))
+        ranks.append(low.cast("long"))
+    place = F.lit(0).cast("long")
+    for k in range(bits):
+        for i, rank in enumerate(ranks):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, k).bitwiseAND(F.lit(1)), k * len(ranks) + len(ranks) - 1 - i))
+    return place
+
+
+def _halving(cuts: Column, v: Column):
+    return lambda at, h: F.when(F.coalesce(F.get(cuts, at + h - 1) <= v, F.lit(False)), at + h).otherwise(at)
+
+
+def _ordered_number(df: DataFrame, c: str) -> Column:
+    kind = df.schema[c].dataType.simpleString()
+    if kind == "string":
+        return F.conv(F.hex(F.rpad(F.substring(F.col(c).cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(F.col(c)).cast("double")
+    return (F.unix_micros(F.col(c).cast("timestamp")) if kind.startswith("timestamp") else F.col(c)).cast("double")
+
+
+def write_on_curve(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None, mode: str = "overwrite", bits: int = 10) -> None:
+    """Cluster by several columns at once: files hold stretches of a space-filling curve, so a filter on any of the columns skips most.
+
+    Ranges go over the place on the curve and a row hash, so one hot cell fills many files.
+    """
+    placed = df.withColumn("_place", curve_position(df, columns, bits))
+    by = [F.col("_place"), F.xxhash64(*df.columns)]
+    ranged = placed.repartitionByRange(files, *by) if files else placed.repartitionByRange(*by)
+    ranged.sortWithinPartitions("_place").drop("_place").write.mode(mode).parquet(path)
+
+
+def files_touched(spark: SparkSession, path: str, column: str, low, high) -> tuple[int, int]:
+    """Files whose values of ``column`` reach into [low, high], and all files: what a filter cannot skip by minimum and maximum."""
+    ends = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(column).alias("a"), F.max(column).alias("b"))
+    row = ends.agg(F.count_if((F.col("a") <= F.lit(high)) & (F.col("b") >= F.lit(low))).alias("hit"), F.count("*").alias("n")).first()
+    return row["hit"], row["n"]

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from ..functions.metrics import METRICS, MEASURES, metrics
 from ..functions.typing import route_key
 from ..operators import aggregates as ag
+from ..operators import distinct as ds
+from ..operators.windows import join_null_safe
 from ..operators.windows import nearest_rank
 from ..plans import cube as cb
-from ..plans import facts
+from ..plans import facts, refresh
 from ..plans import questions as qs
+from ..session import new_folder, stored
 from . import tables as t
 from .registry import query
 
@@ -30,6 +33,17 @@ def a2(spark, sf):
     return cb.additive_cube(t.rows(spark, sf))
 
 
+@query("a2_cube_after_increments", "SELECT * FROM cubo")
+def a2_increments(spark, sf):
+    """Three lots of flights one after the other, the second one twice."""
+    r, path = t.rows(spark, sf), new_folder(spark, "cubo_mantido")
+    cube = stored(cb.additive_cube(r), "base")
+    lot = F.pmod(F.xxhash64("icao_empresa", "icao_origem", "icao_destino"), F.lit(3))
+    for n in (0, 1, 1, 2):
+        refresh.refresh_cube(cube.where(lot == n), path, n)
+    return refresh.refreshed_cube(spark, path, cube)
+
+
 @query("a2_small_cube", """
 SELECT ano_mes, situacao_voo, periodo_partida, fim_de_semana, codigo_tipo_linha, """ + ", ".join(
     f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEASURES) + " FROM cubo GROUP BY ALL")
@@ -175,6 +189,41 @@ def a7(spark, sf):
         F.count_distinct(route_key("icao_origem", "icao_destino")).alias("rotas"))
 
 
+_DISTINCT = {"empresas": "icao_empresa", "motivos": "CASE WHEN flag_cancelado THEN codigo_justificativa END", "rotas": "icao_origem || '>' || icao_destino"}
+
+
+def _distinct_values():
+    return {"empresas": F.col("icao_empresa"), "motivos": F.when(F.col("flag_cancelado"), F.col("codigo_justificativa")), "rotas": route_key("icao_origem", "icao_destino")}
+
+
+def _distinct_state(spark, sf, make, part=None):
+    r = t.rows(spark, sf)
+    r = r.where(part) if part is not None else r
+    return stored(make(r, ["ano_mes", "situacao_voo"], _distinct_values()), "distintos")
+
+
+@query("a7_distinct_rolled_up", "SELECT " + ", ".join(f"count(DISTINCT {v}) AS {k}" for k, v in _DISTINCT.items()) + ", ano_mes FROM linhas GROUP BY ano_mes")
+def a7_state(spark, sf):
+    """Exact counts per month from a stored state per month and outcome, put together from two halves of the flights."""
+    half = F.pmod(F.xxhash64("icao_empresa", "data_partida_prevista"), F.lit(2))
+    state = ds.merged_states([_distinct_state(spark, sf, ds.distinct_state, half == n) for n in (0, 1)])
+    return ds.distinct_counts(state, ["ano_mes"], list(_DISTINCT))
+
+
+@query("a7_distinct_of_all", "SELECT " + ", ".join(f"count(DISTINCT {v}) AS {k}" for k, v in _DISTINCT.items()) + " FROM linhas")
+def a7_all(spark, sf):
+    return ds.distinct_counts(_distinct_state(spark, sf, ds.distinct_state), [], list(_DISTINCT))
+
+
+@query("a7_sketches_within_error", "SELECT ano_mes, true AS empresas, true AS motivos, true AS rotas FROM linhas GROUP BY ano_mes")
+def a7_sketch(spark, sf):
+    """Is each estimate from the stored sketches within 2.5 % (and one) of the exact count?"""
+    near = ds.sketch_counts(_distinct_state(spark, sf, ds.sketch_state), ["ano_mes"], list(_DISTINCT))
+    exact = ds.distinct_counts(_distinct_state(spark, sf, ds.distinct_state), ["ano_mes"], list(_DISTINCT))
+    both = join_null_safe(near, exact.select("ano_mes", *[F.col(c).alias(f"x_{c}") for c in _DISTINCT]), ["ano_mes"])
+    return both.select("ano_mes", *[(F.abs(F.col(c) - F.col(f"x_{c}")) <= 1 + 0.025 * F.col(f"x_{c}")).alias(c) for c in _DISTINCT])
+
+
 @query("a8_min_volume", "SELECT icao_empresa, count(*) AS voos FROM voos GROUP BY 1 HAVING count(*) >= 610")
 def a8(spark, sf):
     sums = t.flights(spark, sf, origin=False, destination=False).groupBy("icao_empresa").agg(F.count(F.lit(1)).alias("voos"))

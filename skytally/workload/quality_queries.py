@@ -203,6 +203,20 @@ def q12(spark, sf):
     return rc.reconcile(left, right, ["icao_empresa", "ano_mes"], ["realizados", "pontuais"], ("cubo", "base"))
 
 
+@query("q12_reconcile_by_checksums", """
+WITH l AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS centavos FROM orders),
+r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 499 = 0 THEN centavos + 1 ELSE centavos END AS centavos FROM l WHERE o_orderkey % 1013 <> 5)
+SELECT l.o_orderkey, l.centavos AS centavos_pedidos, r.centavos AS centavos_copia, l.centavos - r.centavos AS centavos_diferenca,
+  CASE WHEN r.o_orderkey IS NULL THEN 'so_pedidos' ELSE 'ambos' END AS presenca
+FROM l LEFT JOIN r ON l.o_orderkey = r.o_orderkey WHERE l.centavos IS DISTINCT FROM r.centavos""", views=False)
+def q12_checksums(spark, sf):
+    """A copy with changed and missing orders; rows outside differing buckets are summed, not joined."""
+    o = t.table(spark, sf, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("centavos"))
+    changed = F.when(F.col("o_orderkey") % 499 == 0, F.col("centavos") + 1).otherwise(F.col("centavos"))
+    copy = o.where("o_orderkey % 1013 <> 5").withColumn("centavos", changed)
+    return rc.reconcile_differences(o, copy, ["o_orderkey"], ["centavos"], ("pedidos", "copia"))
+
+
 @query("j14_reconcile_missing_keys", """
 SELECT coalesce(a.k, b.k) AS codigo_justificativa, a.n AS voos_cancelados, b.n AS voos_todos, a.n - b.n AS voos_diferenca,
   CASE WHEN a.achou AND b.achou THEN 'ambos' WHEN a.achou THEN 'so_cancelados' ELSE 'so_todos' END AS presenca
@@ -400,3 +414,17 @@ def s18(spark, sf):
     path = new_folder(spark, "quarentena")
     export.write_clustered(ql.split_quality(_marked(spark, sf))[1], path, ["motivo_exclusao"])
     return spark.read.parquet(path).groupBy(F.coalesce("motivo_exclusao", F.lit("")).alias("motivo")).agg(F.count(F.lit(1)).alias("registros"))
+
+
+@query("s18_write_on_curve", "SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS linhas, true AS menos_da_metade FROM lineitem GROUP BY 1, 2", views=False)
+def s18_curve(spark, sf):
+    """Clustered by day and price at once; a tenth of either column's range is found in less than half of the files."""
+    path = new_folder(spark, "curva")
+    rows = t.table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_extendedprice")
+    export.write_on_curve(rows, path, ["l_shipdate", "l_extendedprice"], files=16)
+    back, skips = spark.read.parquet(path), True
+    for c in ("l_shipdate", "l_extendedprice"):
+        ends = rows.agg(F.min(c), F.expr(f"percentile_approx({c}, 0.1)")).first()
+        hit, n = export.files_touched(spark, path, c, *ends)
+        skips = skips and 2 * hit < n
+    return back.groupBy("l_returnflag", F.year("l_shipdate").alias("ano")).agg(F.count(F.lit(1)).alias("linhas"), F.lit(skips).alias("menos_da_metade"))
