@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
 from ..functions.calendar import MONTH_ABBREVIATIONS
-from ..session import spread
+from ..session import spread, stored
 from .windows import previous_in_group
 
 
@@ -87,27 +87,32 @@ def _written_as_name(original: Column, name: Column) -> Column:
 def tag_entities(df: DataFrame, id_column: str, text: str, dictionary: DataFrame, max_words: int | None = None) -> DataFrame:
     """Dictionary names in a text: (id, posicao, palavras, frase, tipo, chave, antes).
 
-    Word n-grams of the lengths the dictionary has are joined to it by equality. Where names
-    overlap the longest wins, ties go to the name first in order, then to the earlier position;
-    that choice is made inside the row of one text. ``antes`` holds the two words before.
+    The dictionary is a tree by first words: a text's distinct words are joined to the first words of names, and only at positions of
+    those, and only in the lengths that names with that first word have, word n-grams are formed and joined by equality. So names of
+    many words do not multiply a text. Where names overlap the longest wins, ties go to the name first in order, then to the
+    earlier position; stretches of overlapping names are found by a running maximum and settled one by one. ``antes`` holds the two words before.
     """
     names = dictionary.groupBy("frase").agg(F.min(F.struct("tipo", "chave", "regra", "grafia")).alias("_d")).select("frase", "_d.*")
     names = names.withColumn("_w", F.size(F.split("frase", " ")))
-    # A handful of small integers: the lengths of names in words.
-    lengths = sorted(r[0] for r in names.select("_w").distinct().collect() if max_words is None or r[0] <= max_words)
-    if not lengths:
-        lengths = [1]
-    tokens = spread(df.select(id_column, text)).select(F.col(id_column).alias("_id"), F.split(tx.normalize_text(text), " ").alias("_tok"))
+    if max_words is not None:
+        names = names.where(F.col("_w") <= max_words)
+    firsts = names.groupBy(F.substring_index("frase", " ", 1).alias("_first")).agg(F.collect_set("_w").alias("_lengths"))
+    tokens = stored(spread(df.select(id_column, text)).select(F.col(id_column).alias("_id"), F.split(tx.normalize_text(text), " ").alias("_tok")), "palavras")
+    begins = tokens.select("_id", F.explode(F.array_distinct("_tok")).alias("_first")).join(firsts, "_first")
+    begins = begins.groupBy(F.col("_id").alias("_bid")).agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("_first", "_lengths")))).alias("_starts"))
     size = F.size("_tok")
     # Words are fetched by position: a slice would copy the whole text for every position.
-    word = lambda p: F.get("_tok", p - 1)
-    gram = lambda n: F.transform(
-        F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>")),
-        lambda p: F.struct(
-            p.alias("p"), F.lit(n).alias("n"), F.concat_ws(" ", *[word(p + i) for i in range(n)]).alias("g"),
+    word = lambda p: F.get("_tok", p - 1)
+
+    def at(p: Column) -> Column:
+        fits = F.filter(F.element_at("_starts", word(p)), lambda n: p + n <= size + 1)
+        return F.transform(fits, lambda n: F.struct(
+            p.alias("p"), n.alias("n"), F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: word(p + i)), " ").alias("g"),
             F.concat_ws(" ", F.when(p > 2, word(p - 2)), F.when(p > 1, word(p - 1))).alias("antes")))
-    grams = tokens.select("_id", F.explode(F.concat(*[gram(n) for n in lengths])).alias("x")).select("_id", "x.*")
-    found = grams.join(names, (grams["g"] == names["frase"]) & (grams["n"] == names["_w"]))
+
+    places = F.filter(F.sequence(F.lit(1), size), lambda p: F.map_contains_key("_starts", word(p)))
+    found = tokens.join(begins, F.col("_id") == F.col("_bid")).select("_id", F.explode(F.flatten(F.transform(places, at))).alias("x")).select("_id", "x.*")
+    found = found.join(names, (found["g"] == names["frase"]) & (found["n"] == names["_w"]))
 
     strict = found.filter("regra <> 'livre'")
     originals = df.select(F.col(id_column).alias("_oid"), F.col(text).alias("_orig"))
@@ -119,7 +124,10 @@ def tag_entities(df: DataFrame, id_column: str, text: str, dictionary: DataFrame
 
     item = F.struct((-F.length("frase")).alias("l"), F.col("frase").alias("f"), F.col("p").alias("p"), F.col("n").alias("n"),
                     F.col("tipo").alias("t"), F.col("chave").alias("k"), F.col("antes").alias("a"))
-    ordered = hits.groupBy("_id").agg(F.array_sort(F.collect_list(item)).alias("_h"))
+    upto = Window.partitionBy("_id").orderBy("p", "n").rowsBetween(Window.unboundedPreceding, -1)
+    apart = hits.withColumn("_new", (F.col("p") >= F.coalesce(F.max(F.col("p") + F.col("n")).over(upto), F.lit(0))).cast("int"))
+    stretch = F.sum("_new").over(Window.partitionBy("_id").orderBy("p", "n").rowsBetween(Window.unboundedPreceding, 0))
+    ordered = apart.withColumn("_g", stretch).groupBy("_id", "_g").agg(F.array_sort(F.collect_list(item)).alias("_h"))
     free = lambda acc, x: ~F.exists(acc, lambda y: (y["p"] < x["p"] + x["n"]) & (x["p"] < y["p"] + y["n"]))
     chosen = F.aggregate("_h", F.filter("_h", lambda x: F.lit(False)), lambda acc, x: F.when(free(acc, x), F.concat(acc, F.array(x))).otherwise(acc))
     out = ordered.select("_id", F.explode(chosen).alias("x"))
