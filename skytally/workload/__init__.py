@@ -3,7 +3,7 @@
 from importlib import import_module
 
 _MODULES = ["star_queries", "cube_queries", "question_queries", "quality_queries", "source_queries", "text_queries",
-            "stream_queries"]
+            "stream_queries", "checked_queries"]
 
 
 def load_all():
