@@ -197,6 +197,39 @@ def build_obt(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return wide.select(*[c for c in OBT_COLUMNS if c in wide.columns])
 
 
+def unnumbered(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
+    """In place of a numbering, for a dimension that is looked up by its code; written once, so that its size is known."""
+    return stored(df, "dimensao")
+
+
+def obt_of_flights(flights: DataFrame, companies: DataFrame, airports: DataFrame, numbered: bool = True,
+                   tie_break: Sequence[str] = (), extra: Sequence[str] = ()) -> DataFrame:
+    """The wide table straight from the flights: what ``build_obt`` of ``build_fact`` gives, without the keys in between.
+
+    Descriptions are looked up by code, once; ``companies`` and ``airports`` are their dimensions, numbered or not. The calendar, the
+    descriptions of line types and outcomes, and distances from the coordinates of both ends are computed in the row. Flights are
+    numbered while they are narrow. Three joins with small tables remain, and no shuffle but that of the numbering.
+    """
+    rows = flights.filter(F.col("icao_empresa").isNotNull()).withColumns(fact_flags())
+    narrow = rows.select(*FACT_COLUMNS, "codigo_tipo_linha", F.col("partida_prevista_data").alias("data_partida_prevista"), *extra)
+    wide = surrogate_key(narrow, "id_voo", ["data_partida_prevista", "icao_empresa", "numero_voo", *tie_break]) if numbered else narrow
+    emp = {"razao_social": "empresa_nome", "iata": "empresa_iata", "servico": "empresa_servico", "origem_cadastro": "empresa_origem",
+           "situacao": "empresa_situacao", "flag_ativa": "empresa_ativa"}
+    wide = lookup(wide, companies.select("icao", *emp), {"icao_empresa": "icao"}, emp)
+    aero = {"nome": "nome", "municipio": "municipio", "uf_nome": "uf", "latitude": "latitude", "longitude": "longitude", "status_operacional": "status"}
+    for role in ("origem", "destino"):
+        wide = lookup(wide, airports.select("icao", *aero), {f"icao_{role}": "icao"}, {c: f"{role}_{n}" for c, n in aero.items()})
+    calendar = {n: c for n, c in calendar_attributes("data_partida_prevista").items() if n not in ("sk_tempo", "dia_semana_num")}
+    described = lambda c, labels: F.when(F.col(c).isNotNull(), ty.describe_code(c, labels, "Outro"))
+    wide = wide.withColumns({
+        **calendar, "tipo_linha": described("codigo_tipo_linha", lx.LINE_TYPES), "codigo_situacao": F.col("situacao_voo"),
+        "situacao_descricao": described("situacao_voo", lx.STATUS_LABELS),
+        "rota_distancia_km": haversine_km("origem_latitude", "origem_longitude", "destino_latitude", "destino_longitude"),
+    })
+    wide = wide.withColumn("rota_faixa_distancia", distance_band("rota_distancia_km"))
+    return wide.select(*[c for c in OBT_COLUMNS if c in wide.columns])
+
+
 OBT_COLUMNS = [
     "id_voo", "icao_empresa", "empresa_nome", "empresa_iata", "empresa_servico", "empresa_origem", "empresa_situacao",
     "empresa_ativa", "icao_origem", "origem_nome", "origem_municipio", "origem_uf", "origem_latitude",

@@ -95,6 +95,12 @@ def m8(spark, sf):
     return t.obt(spark, sf, numbered=True)
 
 
+@query("m8_obt_of_fact", "SELECT * EXCLUDE (id_voo) FROM obt")
+def m8_fact(spark, sf):
+    """By way of the fact's surrogate keys."""
+    return t.obt_of_fact(spark, sf)
+
+
 @query("m9_export_empresa", """
 SELECT icao_empresa, max(empresa_nome) AS nome, max(empresa_iata) AS iata, max(empresa_servico) AS servico,
   max(empresa_origem) AS origem_cadastro, max(empresa_situacao) AS situacao, count(*) AS voos_no_periodo,

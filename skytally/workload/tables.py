@@ -199,6 +199,12 @@ def fact(spark, sf, d: dict[str, DataFrame], numbered: bool = False) -> DataFram
 
 
 def obt(spark, sf, numbered: bool = False) -> DataFrame:
+    found = star.build_dim_empresa(companies(spark, sf), star.unnumbered), star.build_dim_aerodromo(airports(spark, sf), star.unnumbered)
+    return star.obt_of_flights(flights(spark, sf, text_codes=True), *found, numbered, ("pedido", "item"), ("pedido", "item"))
+
+
+def obt_of_fact(spark, sf, numbered: bool = False) -> DataFrame:
+    """The same table by way of the fact's keys."""
     d = dims(spark, sf)
     return star.build_obt(fact(spark, sf, d, numbered), d)
 
