@@ -34,7 +34,7 @@ _AT_ONCE = 1 << 20
 class Limits(NamedTuple):
     """Bounds of a model: rows sampled of each language, and languages (None: all). Every entry of a sampled row is kept."""
 
-    sample: int = 1_500
+    sample: int = 500
     languages: int | None = None
 
 
