@@ -99,7 +99,7 @@ def q21(spark, sf):
 
 _SAVED = {
     "cancelamento por empresa": (lambda q: qs.cancellation_ranking(q, 1), ["empresa"]),
-    "pontualidade por mes": (qs.otp_by_month, ["mes"]),
+    "pontualidade por mes": (lambda q: qs.otp_by_month(q, 1), ["mes"]),
     "aeroportos mais movimentados": (lambda q: qs.busiest_airports(q, 1), ["local"]),
     "nacional e estrangeira": (qs.national_vs_foreign, []),
     "pontualidade por periodo": (qs.otp_by_period, []),
@@ -110,7 +110,7 @@ _SAVED = {
     "distancia media": (qs.mean_distance, []),
     "fim de semana": (qs.weekend_otp, []),
     "voos": (lambda q: qs.measure_query(q, qs.Question("voos")), ["voos"]),
-    "serie de pontualidade": (lambda q: qs.measure_query(q, qs.Question("otp", series=True)), ["mes"]),
+    "serie de pontualidade": (lambda q: qs.measure_query(q, qs.Question("otp", series=True), 1), ["mes"]),
     "taxa de cancelamento": (lambda q: qs.measure_query(q, qs.Question("cancelamento", rate=True)), []),
 }
 
