@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -105,13 +104,12 @@ class Scores:
 class Model(NamedTuple):
     """Languages in order; ``scores``: log frequencies in each language for each entry of the tables.
 
-    tables[0] has the words, tables[n] the n-grams. ``token`` tells models apart.
+    tables[0] has the words, tables[n] the n-grams.
     """
 
     languages: list[str]
     tables: dict[int, dict[str, int]]
     scores: Scores
-    token: str
 
 
 def train(labelled: DataFrame, limits: Limits = Limits()) -> Model:
@@ -161,7 +159,7 @@ def _model(rows: Iterable[tuple[str, int, str, int]]) -> Model:
     seen = np.bincount(kinds[entry] * len(at) + lang, count, (max(GRAMS) + 1) * len(at)).reshape(max(GRAMS) + 1, len(at))
     sizes = np.array([max(1, len(tables[k])) for k in range(max(GRAMS) + 1)])[:, None]
     scores = Scores(kinds, starts, lang[order], np.log(2 * count[order] + 1), np.log(0.5 / (seen + 0.5 * sizes)))
-    return Model(languages, tables, scores, uuid.uuid4().hex)
+    return Model(languages, tables, scores)
 
 
 class Scorer:
@@ -244,17 +242,6 @@ class Scorer:
         return [(UNDETERMINED, 0.0) if not f else (self.model.languages[i], s) for f in found for i, s in ([next(rest)] if f else [(0, 0.0)])]
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    """The worker's scorer of this model; another model's is let go."""
-    if model.token not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.token] = Scorer(model)
-    return _SCORERS[model.token]
-
-
 def language(text: Column, df: DataFrame, model: Model) -> Column:
     """struct(lang string, score double) of each text.
 
@@ -265,8 +252,11 @@ def language(text: Column, df: DataFrame, model: Model) -> Column:
     """
     sent = bounded(df).sparkSession.sparkContext.broadcast(model)
 
-    def scored(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(_scorer(sent.value).texts(texts.tolist()), columns=["lang", "score"])
+    # A scorer lives as long as its task: a worker that goes on to other work lets the model go.
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(sent.value)
+        for texts in batches:
+            yield pd.DataFrame(scorer.texts(texts.tolist()), columns=["lang", "score"])
 
     # Not deterministic to the optimizer: else it runs once more in every filter that reads its result.
     return F.pandas_udf(scored, "lang string, score double").asNondeterministic()(text)
