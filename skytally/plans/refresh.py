@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metrics import CUBE_KEYS, MEASURES
-from ..session import stored
 
 _MONTH, _BATCH = "ano_mes", "lote"
 
@@ -38,10 +37,12 @@ def refresh_cube(increment: DataFrame, path: str, batch: int) -> list[str | None
     touched = F.col(_MONTH).isin(*named) if named else F.lit(False)
     if None in months:
         touched = touched | F.col(_MONTH).isNull()
-    sums = _read(spark, parcels, schema).where(touched).groupBy(*CUBE_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
-    new = stored(sums, "meses")
-    writer = new.hint("rebalance", _MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(_MONTH).parquet(f"{path}/fato")
+    # One shuffle serves the sums and the files: ranges over month and hash hold all parcels of a key, split a large month, and
+    # leave few months to a task.
+    others = [k for k in CUBE_KEYS if k != _MONTH]
+    ranged = _read(spark, parcels, schema).where(touched).withColumn("_h", F.xxhash64(*others)).repartitionByRange(_MONTH, "_h")
+    sums = ranged.groupBy(_MONTH, "_h", *others).agg(*[F.sum(m).alias(m) for m in MEASURES]).select(*columns)
+    sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_MONTH).parquet(f"{path}/fato")
     return months
 
 
