@@ -234,12 +234,14 @@ def aerodromo(spark, sf) -> DataFrame:
     ).withColumn("rotulo", label_of("municipio", "nome", "icao"))
 
 
-def rota(spark, sf) -> DataFrame:
-    """Routes in use with distance and flights: one pass over the flights."""
+def rota(spark, sf, sums: DataFrame | None = None) -> DataFrame:
+    """Routes in use with distance and flights: one pass over the flights, or over ``sums`` that add up to them (any cube)."""
     from ..functions.geo import distance_band, haversine_km
     from ..operators.joins import lookup
 
-    f = flights(spark, sf).groupBy("icao_origem", "icao_destino").agg(F.count(F.lit(1)).alias("voos"))
+    if sums is None:
+        sums = flights(spark, sf).select("icao_origem", "icao_destino", F.lit(1).cast("long").alias("voos"))
+    f = sums.groupBy("icao_origem", "icao_destino").agg(F.sum("voos").alias("voos"))
     for role in ("origem", "destino"):
         f = lookup(f, aerodromo(spark, sf), {f"icao_{role}": "icao"}, {"latitude": f"_lat_{role}", "longitude": f"_lon_{role}"})
     km = haversine_km("_lat_origem", "_lon_origem", "_lat_destino", "_lon_destino")
@@ -267,7 +269,9 @@ def stored_cube(spark, sf) -> Cube:
     known = (spark.sparkContext.applicationId, sf)
     if known not in _STORED:
         path = new_folder(spark, "cubo")
-        parts = {"fato": additive_cube(rows(spark, sf)), "empresa": empresa(spark, sf), "aerodromo": aerodromo(spark, sf), "rota": rota(spark, sf), "tempo": tempo(spark, sf)}
+        additive_cube(rows(spark, sf)).write.parquet(f"{path}/fato")
+        routes = rota(spark, sf, spark.read.parquet(f"{path}/fato"))
+        parts = {"empresa": empresa(spark, sf), "aerodromo": aerodromo(spark, sf), "rota": routes, "tempo": tempo(spark, sf)}
         for name, df in parts.items():
             df.write.parquet(f"{path}/{name}")
         _STORED[known] = path
