@@ -61,8 +61,15 @@ def build_dim_aerodromo(airports: DataFrame, number: Numbering = surrogate_key,
 
 
 def flight_codes(flights: DataFrame) -> DataFrame:
-    """Code combinations in use, fixed once: the line, status and route dimensions all come from it."""
-    return stored(flights.select("codigo_tipo_linha", "situacao_voo", "icao_origem", "icao_destino").distinct(), "codigos")
+    """Code combinations in use with their first and last day, fixed once: the line, status and route dimensions and the calendar come from it."""
+    day = F.col("partida_prevista_data")
+    sums = flights.groupBy("codigo_tipo_linha", "situacao_voo", "icao_origem", "icao_destino").agg(F.min(day).alias("primeiro_dia"), F.max(day).alias("ultimo_dia"))
+    return stored(sums, "codigos")
+
+
+def days_of_codes(codes: DataFrame, date: str = "partida_prevista_data") -> DataFrame:
+    """First and last days of ``flight_codes``: for the calendar they stand for all flights."""
+    return codes.select(F.explode(F.array("primeiro_dia", "ultimo_dia")).alias(date))
 
 
 def _codes(flights: DataFrame, column: str) -> DataFrame:
@@ -116,6 +123,9 @@ def fact_flags() -> dict[str, Column]:
 
 FACT_KEYS = ["sk_empresa", "sk_aerodromo_origem", "sk_aerodromo_destino", "sk_tempo_partida_prevista",
              "sk_tempo_partida_real", "sk_tipo_linha", "sk_situacao", "sk_rota"]
+_RAW_COLUMNS = ["icao_empresa", "numero_voo", "codigo_di", "icao_origem", "icao_destino", "partida_prevista_hora", "partida_real_hora",
+                "chegada_prevista_hora", "chegada_real_hora", "atraso_partida_min", "atraso_chegada_min", "minutos_recuperados", "situacao_voo",
+                "codigo_justificativa", "codigo_tipo_linha"]
 FACT_COLUMNS = ["icao_empresa", "numero_voo", "codigo_di", "icao_origem", "icao_destino", "partida_prevista_hora",
                 "partida_real_hora", "chegada_prevista_hora", "chegada_real_hora", "atraso_partida_min",
                 "atraso_chegada_min", "minutos_recuperados", "flag_realizado", "flag_cancelado", "partida_pontual",
@@ -125,8 +135,15 @@ FACT_COLUMNS = ["icao_empresa", "numero_voo", "codigo_di", "icao_origem", "icao_
 
 def build_fact(flights: DataFrame, dims: dict[str, DataFrame], numbered: bool = True,
                tie_break: Sequence[str] = (), extra: Sequence[str] = ()) -> DataFrame:
-    """Fact with eight surrogate keys, flags and (optionally) the dense flight number."""
-    rows = flights.filter(F.col("icao_empresa").isNotNull()).withColumns(fact_flags())
+    """Fact with eight surrogate keys, flags and (optionally) the dense flight number.
+
+    Flights are numbered while they are narrow: flags and keys come after. Dimensions have one row per code.
+    """
+    rows = flights.filter(F.col("icao_empresa").isNotNull())
+    if numbered:
+        narrow = rows.select(*_RAW_COLUMNS, "origem_arquivo", "transformado_em", "partida_prevista_data", "partida_real_data", *extra)
+        rows = surrogate_key(narrow, "id_voo", ["partida_prevista_data", "icao_empresa", "numero_voo", *tie_break])
+    rows = rows.withColumns(fact_flags())
     rows = lookup_keys(rows, [
         (dims["empresa"], {"icao_empresa": "icao"}, "sk_empresa", "sk_empresa"),
         (dims["aerodromo"], {"icao_origem": "icao"}, "sk_aerodromo", "sk_aerodromo_origem"),
@@ -137,10 +154,7 @@ def build_fact(flights: DataFrame, dims: dict[str, DataFrame], numbered: bool =
         (dims["situacao"], {"situacao_voo": "codigo"}, "sk_situacao", "sk_situacao"),
         (dims["rota"], {"icao_origem": "icao_origem", "icao_destino": "icao_destino"}, "sk_rota", "sk_rota"),
     ])
-    fact = rows.select(*FACT_KEYS, *FACT_COLUMNS, F.col("partida_prevista_data").alias("data_partida_prevista"), *extra)
-    if not numbered:
-        return fact
-    return surrogate_key(fact, "id_voo", ["data_partida_prevista", "icao_empresa", "numero_voo", *tie_break])
+    return rows.select(*(["id_voo"] if numbered else []), *FACT_KEYS, *FACT_COLUMNS, F.col("partida_prevista_data").alias("data_partida_prevista"), *extra)
 
 
 def otp_by_company_month(rows: DataFrame, companies: DataFrame, code: str = "icao", name: str = "razao_social") -> DataFrame:
@@ -210,9 +224,10 @@ def obt_of_flights(flights: DataFrame, companies: DataFrame, airports: DataFrame
     descriptions of line types and outcomes, and distances from the coordinates of both ends are computed in the row. Flights are
     numbered while they are narrow. Three joins with small tables remain, and no shuffle but that of the numbering.
     """
-    rows = flights.filter(F.col("icao_empresa").isNotNull()).withColumns(fact_flags())
-    narrow = rows.select(*FACT_COLUMNS, "codigo_tipo_linha", F.col("partida_prevista_data").alias("data_partida_prevista"), *extra)
+    rows = flights.filter(F.col("icao_empresa").isNotNull())
+    narrow = rows.select(*_RAW_COLUMNS, F.col("partida_prevista_data").alias("data_partida_prevista"), *extra)
     wide = surrogate_key(narrow, "id_voo", ["data_partida_prevista", "icao_empresa", "numero_voo", *tie_break]) if numbered else narrow
+    wide = wide.withColumns(fact_flags())
     emp = {"razao_social": "empresa_nome", "iata": "empresa_iata", "servico": "empresa_servico", "origem_cadastro": "empresa_origem",
            "situacao": "empresa_situacao", "flag_ativa": "empresa_ativa"}
     wide = lookup(wide, companies.select("icao", *emp), {"icao_empresa": "icao"}, emp)

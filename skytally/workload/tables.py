@@ -188,7 +188,7 @@ def dims(spark, sf, f: DataFrame | None = None) -> dict[str, DataFrame]:
     f = f if f is not None else flights(spark, sf, text_codes=True)
     a, codes = airports(spark, sf), star.flight_codes(f)
     return {
-        "tempo": star.fixed_calendar(flights(spark, sf, origin=False, destination=False)), "empresa": star.build_dim_empresa(companies(spark, sf)),
+        "tempo": star.fixed_calendar(star.days_of_codes(codes)), "empresa": star.build_dim_empresa(companies(spark, sf)),
         "aerodromo": star.build_dim_aerodromo(a), "tipo_linha": star.build_dim_tipo_linha(codes),
         "situacao": star.build_dim_situacao(codes), "rota": star.build_dim_rota(codes, a),
     }
