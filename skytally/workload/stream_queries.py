@@ -127,6 +127,12 @@ def r4_one_key(spark, sf):
     return blocking_breaker(calls, "todos", "ts", "event_id", F.col("event_type") == "error", stretch=86_400).drop("ts", "todos")
 
 
+def _files_per_lot(calls, lot) -> int:
+    """As many files as cores for each lot; one where a lot is too small to fill them, so that lots and batches stay the same."""
+    files, sizes = calls.sparkSession.sparkContext.defaultParallelism, dict(calls.groupBy(lot.alias("lot")).count().collect())
+    return files if min(sizes.get(n, 0) for n in range(6)) >= files * max(files, calls.rdd.getNumPartitions()) else 1
+
+
 @query("r4_breaker_stream_late_calls", _BLOCKING + "SELECT event_id, user_id, falhou, bloqueada, falhas, pausa_ate, false AS tardia FROM r", views=False)
 def r4_late(spark, sf):
     """Five batches in order of time, a tenth of each batch's calls only in the next one."""
@@ -135,9 +141,10 @@ def r4_late(spark, sf):
     width = (hi - lo) // 5 + 1
     lot = F.floor((F.unix_micros("ts") - lo) / width) + (F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0).cast("int")
     path = new_folder(spark, "chamadas")
+    files = _files_per_lot(e, lot)
     for n in range(6):
-        e.where(lot == n).coalesce(1).write.mode("append").parquet(path)
-    stream = loads.stream_table(spark, path, maxFilesPerTrigger=1)
+        e.where(lot == n).repartition(files).write.mode("append").parquet(path)
+    stream = loads.stream_table(spark, path, maxFilesPerTrigger=files)
     late = limits.breaker_stream(stream, "user_id", "ts", "event_id", F.col("event_type") == "error", delay=width // 1_000_000 + 1)
     return late.drop("ts")
 
